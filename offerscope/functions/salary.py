@@ -57,10 +57,10 @@ def with_salary(df: DataFrame, text: str = "salary_raw", minimum: str = "salary_
     ).otherwise(F.col("_amounts"))
     df = df.withColumn("_scaled", scaled)
 
-    unit_word = norm(blank_to_null(F.col(unit)))
+    df = df.withColumn("_unit", norm(blank_to_null(F.col(unit))))
     named = F.when(F.lit(False), F.lit(None).cast("string"))
     for alias, period in V.UNIT_ALIASES.items():
-        named = named.when(unit_word == alias, F.lit(period))
+        named = named.when(F.col("_unit") == alias, F.lit(period))
     df = df.select(
         "*",
         F.when(structured, F.least(lo, hi)).otherwise(F.array_min("_scaled")).alias("_lo"),
@@ -77,7 +77,7 @@ def with_salary(df: DataFrame, text: str = "salary_raw", minimum: str = "salary_
         "salary_max": F.when(~daily, F.col("_hi") * factor),
     })
     df = df.withColumn("salary_mid", (F.col("salary_min") + F.col("salary_max")) / 2)
-    return df.drop("_pay", "_said", "_amounts", "_kilo", "_scaled", "_lo", "_hi", "_named")
+    return df.drop("_pay", "_said", "_amounts", "_kilo", "_scaled", "_unit", "_lo", "_hi", "_named")
 
 
 def plausible(df: DataFrame, keep: Column, columns: tuple[str, ...] = ("salary_min", "salary_max", "salary_mid"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -53,7 +52,9 @@ def strip_accents(text: Column, extra: tuple[str, str] = ("", "")) -> Column:
     ``extra`` adds one-to-one replacements (from, to) to the same pass.
     """
     folded = F.translate(text, extra[0] + _FOLD_FROM, extra[1] + _FOLD_TO)
-    spelled_out = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), _EXPANDED, folded)
+    pairs = F.array(*[F.lit(c) for c, _ in _EXPANDED]), F.array(*[F.lit(t) for _, t in _EXPANDED])
+    spelled_out = F.aggregate(F.arrays_zip(pairs[0].alias("c"), pairs[1].alias("t")), folded,
+                              lambda done, pair: F.replace(done, pair["c"], pair["t"]))
     return (F.when(F.octet_length(text) == F.length(text), text)
             .when(text.rlike(_EXPANDED_CLASS), spelled_out)
             .otherwise(folded))

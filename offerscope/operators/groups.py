@@ -75,8 +75,8 @@ def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """A repeatable sample of ``n`` rows: those with the smallest hash of (key, seed)."""
-    draw = F.xxhash64(F.col(key), F.lit(seed))
+    """A repeatable sample of ``n`` rows: those with the smallest digest of (key, seed)."""
+    draw = F.md5(F.concat_ws(":", F.col(key), F.lit(str(seed))))
     return df.orderBy(draw, F.col(key)).limit(n)
 
 
