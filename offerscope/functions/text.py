@@ -41,9 +41,13 @@ _EXPANDED_CLASS = "[" + "".join(c for c, _ in _EXPANDED) + "]"
 BLANK = r"[\s\x1c-\x1f\x85   ]"
 
 
+# Word characters, spelled out: the engine's own word class and boundary differ between JVM versions.
+WORD = r"\p{L}\p{N}_"
+
+
 def rx(pattern: str) -> str:
     """A pattern whose classes and boundaries are Unicode-aware whatever the JVM."""
-    return pattern if pattern.startswith("(?U)") else "(?U)" + pattern
+    return "(?U)" + pattern if "\\b" in pattern or "\\w" in pattern else pattern
 
 
 def strip_accents(text: Column, extra: tuple[str, str] = ("", "")) -> Column:

@@ -21,6 +21,19 @@ def salted_join(facts: DataFrame, lookup: DataFrame, key: str, spread_by: Sequen
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
-def value_at(df: DataFrame, aggregate: Column) -> Column:
-    """One aggregate of a whole table as a scalar subquery (evaluated once, no join)."""
-    return df.agg(aggregate.alias("scalar")).scalar()
+def explode_computed(df: DataFrame, keep: Sequence[str], elements: Column, name: str) -> DataFrame:
+    """(keep..., element) rows of an array that is costly to compute.
+
+    A plain ``explode`` makes the optimizer add a "not empty" filter and push it down, which computes the array
+    twice. The outer form does not; the rows of empty arrays are dropped afterwards.
+    """
+    return df.select(*keep, F.explode_outer(elements).alias(name)).where(F.col(name).isNotNull())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin redistribution of inputs with fewer files than cores; larger inputs stay as they are.
+
+    For steps that burn CPU on every row: a single small file would keep one core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from offerscope import schemas
-from offerscope.functions.text import fold
+from offerscope.functions.text import WORD, fold
+from offerscope.operators.skew import explode_computed
 from offerscope.vocab.skills import DEFAULT_SKILLS, Skill
 
 # A skill is neither preceded nor followed by a word character, "+" or "#" ("C" is not in "C++").
-_NOT_BEFORE, _NOT_AFTER = r"(?<![\w+#])", r"(?![\w+#])"
+_NOT_BEFORE, _NOT_AFTER = f"(?<![{WORD}+#])", f"(?![{WORD}+#])"
 
 
 def _plain(pattern: str, case_sensitive: bool) -> str:
-    import unicodedata
-
     folded = "".join(c for c in unicodedata.normalize("NFKD", pattern.replace("’", "'"))
                      if not unicodedata.combining(c))
     return folded if case_sensitive else folded.lower()
@@ -52,7 +52,7 @@ def skill_hit(skill: Skill, lowered: Column, cased: Column) -> Column:
     text = cased if skill.case_sensitive else lowered
     patterns = [_plain(p, skill.case_sensitive) for p in skill.patterns]
     body = "|".join(f"(?:{p})" for p in patterns)
-    found = text.rlike(f"(?U){_NOT_BEFORE}(?:{body}){_NOT_AFTER}")
+    found = text.rlike(f"{_NOT_BEFORE}(?:{body}){_NOT_AFTER}")
     literals = [required_literal(p) for p in patterns]
     if not all(literals):
         return found
@@ -76,7 +76,7 @@ def catalogue(spark: SparkSession, skills: Sequence[Skill] = DEFAULT_SKILLS) ->
 
 def links(df: DataFrame, key: str, skills: str = "skills") -> DataFrame:
     """Bridge rows (key, skill) of a table that carries the skills array."""
-    return df.select(key, F.explode(skills).alias("skill"))
+    return explode_computed(df, [key], F.col(skills), "skill")
 
 
 def labelled_links(df: DataFrame, key: str, dictionary: Sequence[Skill] = DEFAULT_SKILLS) -> DataFrame:

@@ -6,20 +6,20 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from offerscope.functions.text import round_half_up, rx, strip_accents
+from offerscope.functions.text import WORD, round_half_up, strip_accents
 from offerscope.operators.groups import top_n_per_group
-from offerscope.operators.skew import salted_join
+from offerscope.operators.skew import explode_computed, salted_join
 
 # What cuts a text into segments, and a token.
 SEGMENT_BREAK = r"[,.;:!?()\n•|]+"
-TOKEN = r"\b[a-z][a-z0-9+#/\-]*[a-z0-9+#]"
+TOKEN = rf"(?<![{WORD}])[a-z][a-z0-9+#/\-]*[a-z0-9+#]"
 
 
 def tokens_by_segment(text: Column, stopwords: Iterable[str]) -> Column:
     """Tokens of each segment, stop words removed, repeats kept."""
     stop = sorted(stopwords)
     segments = F.split(strip_accents(F.lower(text)), SEGMENT_BREAK)
-    found = F.transform(segments, lambda s: F.regexp_extract_all(s, F.lit(rx(TOKEN)), F.lit(0)))
+    found = F.transform(segments, lambda s: F.regexp_extract_all(s, F.lit(TOKEN), F.lit(0)))
     if not stop:
         return found
     return F.transform(found, lambda tokens: F.filter(tokens, lambda t: ~t.isin(stop)))
@@ -38,14 +38,14 @@ def grams(segments: Column) -> Column:
 def term_frequencies(docs: DataFrame, doc: str, group: str, text: str, stopwords: Iterable[str]) -> DataFrame:
     """(doc, group, term, tf)"""
     segments = tokens_by_segment(F.coalesce(F.col(text), F.lit("")), stopwords)
-    rows = docs.select(doc, group, F.explode(grams(segments)).alias("term"))
+    rows = explode_computed(docs, [doc, group], grams(segments), "term")
     return rows.groupBy(doc, group, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequencies(docs: DataFrame, text: str, stopwords: Iterable[str]) -> DataFrame:
     """(term, df): each document is counted once per term before anything is shuffled."""
     segments = tokens_by_segment(F.coalesce(F.col(text), F.lit("")), stopwords)
-    rows = docs.select(F.explode(F.array_distinct(grams(segments))).alias("term"))
+    rows = explode_computed(docs, [], F.array_distinct(grams(segments)), "term")
     return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 

@@ -7,6 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from offerscope.functions.text import blank_to_null, strip
+from offerscope.operators.skew import explode_computed
 from offerscope.sources.landing import as_raw
 
 # A comment or a whole script: a script inside a comment is no script, a comment inside a script is content.
@@ -42,8 +43,11 @@ def ld_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
     scripts = F.filter(F.arrays_zip(attributes.alias("attrs"), bodies.alias("body")),
                        lambda s: s["attrs"].rlike(_LD_JSON))
     mentioned = pages.where(F.contains(html, F.lit("ld+json")) | F.col(html).rlike(r"(?i)ld\+json"))
-    blocks = mentioned.withColumn("_script", F.explode(F.transform(scripts, lambda s: s["body"])))
-    return blocks.withColumn("block", F.try_parse_json("_script")).where(F.col("block").isNotNull()).drop("_script")
+    bodies = explode_computed(mentioned, pages.columns, F.transform(scripts, lambda s: s["body"]), "_script")
+    # The parser ignores what follows the first value; inside brackets it cannot.
+    wrapped = F.try_parse_json(F.concat(F.lit("["), "_script", F.lit("]")))
+    single = F.when(_get(wrapped, "$[1]").isNull(), _get(wrapped, "$[0]"))
+    return bodies.withColumn("block", single).where(F.col("block").isNotNull()).drop("_script")
 
 
 def _unfold(values: Column) -> Column:
@@ -77,23 +81,23 @@ def job_postings(pages: DataFrame, html: str = "html", rounds: int = DEFAULT_ROU
             | F.coalesce(F.array_contains(kinds, "JobPosting"), F.lit(False))
 
     found = F.filter(F.flatten(F.array(*[F.col(n) for n in names])), is_posting)
-    return blocks.withColumn("posting", F.explode(found)).drop("block", *names)
+    return explode_computed(blocks, pages.columns, found, "posting")
 
 
 def _entity_decoded(text: Column) -> Column:
-    """Named (HTML 4) and numeric character references decoded, each exactly once."""
+    """Named (HTML 4) and numeric character references decoded, each exactly once; the semicolon may be missing."""
     names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
 
     def piece(p: Column) -> Column:
-        name = F.regexp_extract(p, r"^&([A-Za-z][A-Za-z0-9]*);", 1)
-        decimal = F.regexp_extract(p, r"^&#(\d{1,7});?", 1)
-        hexa = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]{1,6});?", 1)
+        name = F.regexp_extract(p, r"^&([A-Za-z][A-Za-z0-9]*)", 1)
+        decimal = F.regexp_extract(p, r"^&#(\d{1,7})", 1)
+        hexa = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]{1,6})", 1)
         code = F.when(hexa != "", hexa).when(decimal != "", F.hex(decimal.try_cast("bigint")))
-        rest = F.regexp_replace(p, r"^&(#[xX][0-9a-fA-F]{1,6};?|#\d{1,7};?|[A-Za-z][A-Za-z0-9]*;)", "")
+        rest = F.regexp_replace(p, r"^&(#[xX][0-9a-fA-F]{1,6}|#\d{1,7}|[A-Za-z][A-Za-z0-9]*);?", "")
         char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
         return (F.when(code.isNotNull(), F.concat(char, rest))
                 .when(name == "", p)
-                .otherwise(F.coalesce(F.concat(F.try_element_at(names, name), rest), p)))
+                .otherwise(F.concat(F.coalesce(F.try_element_at(names, name), F.concat(F.lit("&"), name)), rest)))
 
     decoded = F.array_join(F.transform(F.split(text, "(?=&)"), piece), "")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
