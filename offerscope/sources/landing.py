@@ -38,8 +38,8 @@ def write_landing(offers: DataFrame, raw_dir: str, stamp: datetime | None = None
     rows.write.mode("append").partitionBy("landing", "stamp").json(raw_dir)
 
 
-def as_raw(df: DataFrame) -> DataFrame:
-    """The 21 raw columns in order and with their types; absent ones are NULL."""
+def as_raw(df: DataFrame, *more: str) -> DataFrame:
+    """The 21 raw columns in order and with their types, absent ones NULL, then the columns named in ``more``."""
     return df.select(*[
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schemas.RAW.fields])
+        for f in schemas.RAW.fields], *more)
