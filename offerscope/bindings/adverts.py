@@ -13,6 +13,7 @@ from offerscope.bindings.cleaning import _PLACES, _pick, _sql_pick
 from offerscope.bindings.registry import MIDDLE, half_up, nearest, pct, query, ranked, table
 from offerscope.functions.text import round_half_up
 from offerscope.operators.filters import slice_offers
+from offerscope.operators.skew import spread
 from offerscope.plans import insights as I, profile as P, views as V, warehouse as W
 from offerscope.plans.clean import clean_offers
 from offerscope.session import shared_dir
@@ -51,7 +52,7 @@ _LON = [2.3522, 4.8357, -1.5536, None, None, 4.8357, 4.0317, None, None, 4.3872,
 def raw_adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw record per order, plus ``_arrival``, the order of arrival."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    o = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    o = spread(table(spark, sf_dir, "orders")).join(customer, F.col("o_custkey") == F.col("c_custkey"))
     key, slot = F.col("o_orderkey"), F.col("o_orderkey") % 5
     pair, price = F.floor(F.col("o_orderkey") / 2), F.floor("o_totalprice")
     yearly, text = (15000 + price % 60000), lambda c: c.cast("bigint").cast("string")

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from offerscope.functions.text import norm
-
 
 def content_key(title: Column, company: Column, city: Column) -> Column:
-    """Fingerprint of an advert: the same title, company and city in any spelling."""
-    return F.md5(F.concat_ws("|", norm(title), norm(company), norm(city)))
+    """Fingerprint of an advert, from its normalised title, company and city."""
+    return F.md5(F.concat_ws("|", title, company, city))
 
 
 def utc_date(text: Column) -> Column:

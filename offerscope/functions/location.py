@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from offerscope.functions.text import blank_to_null, norm, rx, strip, title_case
-from offerscope.sources.places import DEFAULT_PLACES, Places, admin_key, city_key
+from offerscope.sources.places import DEFAULT_PLACES, Places, admin_key, city_key, place_key
 from offerscope.vocab.labels import UNKNOWN
 from offerscope.vocab import places as V
 
-_HELPERS = ("_text", "_dept0", "_parts", "_admins", "_cities_hit", "_head_admin", "_head_city", "_admin_key",
+_HELPERS = ("_text", "_dept0", "_parts", "_keys", "_admins", "_cities_hit", "_head_admin", "_head_city", "_admin_key",
             "admin_code", "admin_region", "_area", "_place", "_city_key", "_dept", "ref_city", "ref_dept",
             "ref_region", "ref_lat", "ref_lon", "dept_region")
 
@@ -33,9 +33,10 @@ def with_location(df: DataFrame, raw: str = "location_raw", latitude: str = "lat
 
     # Parts of the place with their administrative key and whether they name a known city.
     df = df.withColumn("_parts", F.filter(F.transform(F.split("_text", ","), strip), lambda p: p != ""))
+    df = df.withColumn("_keys", F.transform("_parts", place_key))
     df = df.withColumns({
-        "_admins": F.transform("_parts", lambda p: F.when(admin_key(p).isin(places.admin_keys), admin_key(p))),
-        "_cities_hit": F.transform("_parts", lambda p: city_key(p).isin(places.city_keys)),
+        "_admins": F.transform("_keys", lambda k: F.when(admin_key(k).isin(places.admin_keys), admin_key(k))),
+        "_cities_hit": F.transform("_keys", lambda k: city_key(k).isin(places.city_keys)),
     })
     df = df.withColumns({"_head_admin": F.get("_admins", F.lit(0)), "_head_city": F.get("_cities_hit", F.lit(0))})
 
@@ -56,13 +57,13 @@ def with_location(df: DataFrame, raw: str = "location_raw", latitude: str = "lat
                             F.col("_cities_hit").alias("city"))
     later = F.filter(numbered, lambda z, i: (i > 0) & (z["city"] | z["admin"].isNull()))
     head = F.coalesce(F.get("_parts", F.lit(0)), F.lit(""))
-    is_district = norm(head).rlike(rx(V.DISTRICT_HEAD))
+    is_district = F.when(~head.rlike("^[A-Za-z]"), norm(head).rlike(rx(V.DISTRICT_HEAD)))
     place = F.when(is_district, F.coalesce(F.get(later, F.lit(0))["part"], head)).otherwise(head)
     for pattern in V.PLACE_SUFFIXES:
         place = F.regexp_replace(place, rx("(?i)" + pattern), "")
     place = F.regexp_replace(strip(place), rx("(?i)" + V.DISTRICT_NUMBER), "")
     df = df.withColumn("_place", F.when(F.col("_text").isNotNull() & ~F.coalesce("_area", F.lit(False)), place))
-    df = df.withColumn("_city_key", F.when(F.col("_place").isNotNull(), city_key(F.col("_place"))))
+    df = df.withColumn("_city_key", F.when(F.col("_place").isNotNull(), city_key(place_key(F.col("_place")))))
     df = df.join(places.city_table(spark), "_city_key", "left")
     df = df.join(places.department_table(spark), "_dept", "left")
 

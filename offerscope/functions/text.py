@@ -36,7 +36,8 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
 
 
 _FOLD_FROM, _FOLD_TO, _EXPANDED = _fold_tables()
-_EXPANDED_CLASS = "[" + "".join(c for c, _ in _EXPANDED) + "]"
+_EXPANDED_CHARS = "".join(c for c, _ in _EXPANDED)
+_EXPANSIONS = "|".join(c + t for c, t in _EXPANDED)
 # Blanks left after folding that the regex engine's ASCII \s does not cover.
 BLANK = r"[\s\x1c-\x1f\x85   ]"
 
@@ -56,11 +57,11 @@ def strip_accents(text: Column, extra: tuple[str, str] = ("", "")) -> Column:
     ``extra`` adds one-to-one replacements (from, to) to the same pass.
     """
     folded = F.translate(text, extra[0] + _FOLD_FROM, extra[1] + _FOLD_TO)
-    pairs = F.array(*[F.lit(c) for c, _ in _EXPANDED]), F.array(*[F.lit(t) for _, t in _EXPANDED])
-    spelled_out = F.aggregate(F.arrays_zip(pairs[0].alias("c"), pairs[1].alias("t")), folded,
-                              lambda done, pair: F.replace(done, pair["c"], pair["t"]))
+    pairs = F.split(F.lit(_EXPANSIONS), "[|]")
+    spelled_out = F.aggregate(pairs, folded, lambda done, pair: F.replace(
+        done, F.substring(pair, 1, 1), F.substring(pair, 2, 1 << 30)))
     return (F.when(F.octet_length(text) == F.length(text), text)
-            .when(text.rlike(_EXPANDED_CLASS), spelled_out)
+            .when(F.translate(text, _EXPANDED_CHARS, "") != text, spelled_out)
             .otherwise(folded))
 
 

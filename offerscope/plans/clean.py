@@ -25,12 +25,12 @@ def in_market(raw: DataFrame, rejected: Observation | None = None) -> DataFrame:
 
     ``rejected`` counts the titled rows outside the market without another pass.
     """
-    titled = raw.withColumn("title", strip(F.coalesce(F.col("title"), F.lit("")))).where(F.col("title") != "")
-    titled = titled.withColumn("_title", norm(F.col("title")))
-    titled = titled.withColumn("_in_scope", labels.in_scope(F.col("_title")))
+    titled = raw.withColumn("_title", norm(F.col("title")))
+    inside = labels.in_scope(F.col("_title"))
     if rejected is not None:
-        titled = titled.observe(rejected, F.count_if(~F.col("_in_scope")).alias("out_of_scope"))
-    return titled.where("_in_scope").drop("_in_scope")
+        titled = titled.observe(rejected, F.count_if((F.col("_title") != "") & ~inside).alias("out_of_scope"))
+    # A blank title matches no rule. The stripped title comes after the filter, which is pushed below it.
+    return titled.where(inside).withColumn("title", strip(F.col("title")))
 
 
 def typed_offers(raw: DataFrame, settings: Settings = Settings(), places: Places = DEFAULT_PLACES,
@@ -60,7 +60,7 @@ def typed_offers(raw: DataFrame, settings: Settings = Settings(), places: Places
     df = df.withColumn("has_salary", labels.flag(F.col("salary_mid").isNotNull()))
     df = df.withColumns({c: whole_or_null(F.col(c)) for c in ("salary_min", "salary_max", "salary_mid")})
 
-    remote_text = norm(F.concat_ws(" ", blank_to_null(F.col("remote_raw")), blank_to_null(F.col("description"))))
+    remote_text = F.concat_ws(" ", blank_to_null(norm(F.col("remote_raw"))), blank_to_null(F.col("_body")))
     df = df.withColumns({
         "offer_id": F.concat(F.col("source"), F.lit(":"), F.col("source_id")),
         "is_demo": labels.flag(F.col("is_demo")),
@@ -68,7 +68,7 @@ def typed_offers(raw: DataFrame, settings: Settings = Settings(), places: Places
         "sector": labels.sector(norm(F.col("sector_raw")), F.col("_company")),
         "remote_policy": labels.remote_policy(remote_text),
         "published_date": utc_date(F.col("published_at")),
-        "_content_key": content_key(F.col("title"), F.col("company"), F.col("city")),
+        "_content_key": content_key(F.col("_title"), F.col("_company"), norm(F.col("city"))),
     })
     df = df.withColumns({
         "published_month": month_of(F.col("published_date")),

@@ -21,13 +21,19 @@ from offerscope.vocab import places as V
 MAX_BROADCAST_ROWS = 100_000
 
 
-def admin_key(name: Column) -> Column:
-    """Key of a department or region name: blanks for hyphens and apostrophes."""
-    return F.trim(F.translate(norm(name), "-'", "  "))
+def place_key(name: Column) -> Column:
+    """Normalised name with blanks for hyphens and apostrophes; both kinds of keys derive from it."""
+    return F.translate(norm(name), "-'", "  ")
 
 
-def city_key(name: Column) -> Column:
-    return F.replace(F.translate(norm(name), "-'", "  "), F.lit("saint "), F.lit("st "))
+def admin_key(key: Column) -> Column:
+    """Key of a department or region name, from a place key."""
+    return F.trim(key)
+
+
+def city_key(key: Column) -> Column:
+    """Key of a city name, from a place key."""
+    return F.replace(key, F.lit("saint "), F.lit("st "))
 
 
 def _plain(name: str) -> str:
