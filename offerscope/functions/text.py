@@ -38,10 +38,10 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
 _FOLD_FROM, _FOLD_TO, _EXPANDED = _fold_tables()
 _EXPANDED_CHARS = "".join(c for c, _ in _EXPANDED)
 _EXPANSIONS = "|".join(c + t for c, t in _EXPANDED)
-# Blanks left after folding that the regex engine's ASCII \s does not cover.
-BLANK = r"[\s\x1c-\x1f\x85   ]"
-
-
+# Blanks: those below U+0080 the collapsing regex looks for, and all of them for trimming.
+_ASCII_BLANKS = "[ \\t\\n\\x0B\\f\\r\\x1c-\\x1f]+"
+_ALL_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+_FOLDED_BLANKS = "".join(c for c in _ALL_BLANKS if c > "\x7f" and _decomposed(ord(c)) != " ")
 # Word characters, spelled out: the engine's own word class and boundary differ between JVM versions.
 WORD = r"\p{L}\p{N}_"
 
@@ -71,17 +71,18 @@ def fold(text: Column) -> Column:
 
 
 def collapse(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, BLANK + "+", " "))
+    return F.trim(F.regexp_replace(text, _ASCII_BLANKS, " "))
 
 
 def norm(text: Column) -> Column:
     """Lower case, no accents, straight apostrophes, single blanks, trimmed; NULL becomes ''."""
-    return collapse(F.lower(fold(F.coalesce(text, F.lit("")))))
+    plain = strip_accents(F.coalesce(text, F.lit("")), extra=("’" + _FOLDED_BLANKS, "'" + " " * len(_FOLDED_BLANKS)))
+    return collapse(F.lower(plain))
 
 
 def strip(text: Column) -> Column:
     """Blanks of any kind removed at both ends."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(text, F.lit(_ALL_BLANKS))
 
 
 def blank_to_null(text: Column) -> Column:
