@@ -82,6 +82,11 @@ def whole_or_null(amount: Column) -> Column:
     return F.when(amount != 0, F.bround(amount, 0))
 
 
+def staged_columns(arrival: Sequence[str] = ARRIVAL) -> list[str]:
+    """Columns a staging table of typed offers keeps for ``unique_offers``."""
+    return [*schemas.CLEAN.fieldNames(), "_content_key", *arrival]
+
+
 def unique_offers(typed: DataFrame, settings: Settings = Settings(), arrival: Sequence[str] = ARRIVAL) -> DataFrame:
     """Age limit, then the two-pass deduplication; the 27 clean columns in order."""
     recent = within_age(typed, "published_date", settings.max_age_days)

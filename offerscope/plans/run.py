@@ -6,14 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Observation, SparkSession, functions as F
 
-from offerscope.operators.filters import dataset_label, select_dataset
 from offerscope.plans import warehouse
-from offerscope.plans.clean import typed_offers, unique_offers
+from offerscope.plans.clean import staged_columns, typed_offers, unique_offers
 from offerscope.plans.export import export_views
 from offerscope.plans.views import register
 from offerscope.settings import Settings
 from offerscope.sources.landing import read_landing
 from offerscope.sources.places import DEFAULT_PLACES, Places
+from offerscope.vocab.labels import SELECTION_LABELS
 
 
 @dataclass(frozen=True)
@@ -27,16 +27,30 @@ class RunSummary:
 
 def run(spark: SparkSession, raw_dir: str, warehouse_dir: str, exports_dir: str | None = None,
         settings: Settings = Settings(), places: Places = DEFAULT_PLACES) -> RunSummary:
-    """One full reload. The chosen raw rows are counted while they stream into the clean table."""
-    raw = read_landing(spark, raw_dir)
-    if raw.isEmpty():
+    """One full reload.
+
+    The raw text is read once: typed rows go to a staging table while real and demo records are counted on the way.
+    What needs the whole set (dataset choice, age limit, deduplication) then reads narrow columns of that table.
+    """
+    demo = F.coalesce(F.col("is_demo"), F.lit(False))
+    counted = Observation("landed")
+    raw = read_landing(spark, raw_dir).observe(
+        counted, F.count_if(~demo).alias("real"), F.count_if(demo).alias("demo"))
+    staging = f"{warehouse_dir}/staging"
+    typed_offers(raw, settings, places).select(*staged_columns()).write.mode("overwrite").parquet(staging)
+    real, fake = counted.get["real"], counted.get["demo"]
+    if not real and not fake:
         raise ValueError(f"no raw records below {raw_dir}")
-    label = dataset_label(raw, settings.data_mode).first()["dataset_label"]
-    chosen = Observation("chosen")
-    selected = select_dataset(raw, settings.data_mode).observe(chosen, F.count(F.lit(1)).alias("rows"))
-    counts = warehouse.store(
-        unique_offers(typed_offers(selected, settings, places), settings), warehouse_dir, settings)
-    n_raw = chosen.get["rows"]
+
+    mode = settings.data_mode
+    if mode == "auto":
+        mode = "real" if real else "demo"
+    n_raw = {"real": real, "demo": fake, "all": real + fake}[mode]
+    label = SELECTION_LABELS["both" if mode == "all" and real and fake else
+                             "demo" if mode == "demo" or (mode == "all" and not real) else "real"]
+    staged = spark.read.parquet(staging)
+    chosen = staged if mode == "all" else staged.where(F.col("is_demo") == (1 if mode == "demo" else 0))
+    counts = warehouse.store(unique_offers(chosen, settings), warehouse_dir, settings)
     warehouse.log_run(spark, warehouse_dir, label, n_raw, counts["offers"], counts["offer_skills"])
     tables = warehouse.load(spark, warehouse_dir)
     register(tables)

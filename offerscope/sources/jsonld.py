@@ -37,13 +37,14 @@ def _first(value: Column) -> Column:
 
 
 def ld_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per readable JSON-LD block (column ``block``, a variant); broken JSON is skipped."""
+    """One row per readable JSON-LD block (column ``block``, a variant) instead of the page; broken JSON is skipped."""
     attributes = F.regexp_extract_all(html, F.lit(_COMMENT_OR_SCRIPT), F.lit(1))
     bodies = F.regexp_extract_all(html, F.lit(_COMMENT_OR_SCRIPT), F.lit(2))
     scripts = F.filter(F.arrays_zip(attributes.alias("attrs"), bodies.alias("body")),
                        lambda s: s["attrs"].rlike(_LD_JSON))
     mentioned = pages.where(F.contains(html, F.lit("ld+json")) | F.col(html).rlike(r"(?i)ld\+json"))
-    bodies = explode_computed(mentioned, pages.columns, F.transform(scripts, lambda s: s["body"]), "_script")
+    keep = [c for c in pages.columns if c != html]
+    bodies = explode_computed(mentioned, keep, F.transform(scripts, lambda s: s["body"]), "_script")
     # The parser ignores what follows the first value; inside brackets it cannot.
     wrapped = F.try_parse_json(F.concat(F.lit("["), "_script", F.lit("]")))
     single = F.when(_get(wrapped, "$[1]").isNull(), _get(wrapped, "$[0]"))
@@ -81,7 +82,7 @@ def job_postings(pages: DataFrame, html: str = "html", rounds: int = DEFAULT_ROU
             | F.coalesce(F.array_contains(kinds, "JobPosting"), F.lit(False))
 
     found = F.filter(F.flatten(F.array(*[F.col(n) for n in names])), is_posting)
-    return explode_computed(blocks, pages.columns, found, "posting")
+    return explode_computed(blocks, [c for c in pages.columns if c != html], found, "posting")
 
 
 def _entity_decoded(text: Column) -> Column:

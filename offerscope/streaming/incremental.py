@@ -12,16 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from offerscope import schemas
 from offerscope.operators.filters import select_dataset
-from offerscope.plans.clean import typed_offers, unique_offers
+from offerscope.plans.clean import staged_columns, typed_offers, unique_offers
 from offerscope.settings import Settings
-from offerscope.sources.landing import ARRIVAL
 from offerscope.sources.places import DEFAULT_PLACES, Places
 
 
-def _staged_columns() -> list[str]:
-    return [*schemas.CLEAN.fieldNames(), "_content_key", *ARRIVAL]
-
-
 def start(spark: SparkSession, raw_dir: str, staging_dir: str, checkpoint_dir: str,
           settings: Settings = Settings(), places: Places = DEFAULT_PLACES,
           max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -37,7 +32,7 @@ def start(spark: SparkSession, raw_dir: str, staging_dir: str, checkpoint_dir: s
                                          "_metadata.file_block_start")
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        typed = typed_offers(_arrival_of(batch), settings, places).select(*_staged_columns())
+        typed = typed_offers(_arrival_of(batch), settings, places).select(*staged_columns())
         typed.write.mode("overwrite").parquet(f"{staging_dir}/batch={batch_id}")
 
     return (landed.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint_dir)
