@@ -61,8 +61,8 @@ def mean_tfidf(docs: DataFrame, doc: str, group: str, text: str, stopwords: Iter
         (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
     vocabulary = vocabulary.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
-    # A term may occur in up to max_df of all documents, hence the salt.
-    weights = salted_join(term_frequencies(docs, doc, group, text, stop), vocabulary, "term", [doc])
+    # One term may occur in up to max_df of all documents, hence the salt; every document brings many other terms.
+    weights = salted_join(term_frequencies(docs, doc, group, text, stop), vocabulary, "term", [doc], salts=4)
     weights = weights.withColumn("w", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
     unit = weights.select(group, "term", (F.col("w") / length).alias("w"))

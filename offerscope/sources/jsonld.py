@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from offerscope.functions.text import blank_to_null, strip
 from offerscope.operators.skew import explode_computed
@@ -16,7 +18,7 @@ _LD_JSON = r"(?i)\btype\s*=\s*[\"']?application/ld\+json"
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
 _TAG = r"<[a-zA-Z/!?][^>]*>"
 # Rounds of unfolding lists and "@graph" members; see ``job_postings``.
-DEFAULT_ROUNDS = 8
+DEFAULT_ROUNDS = 4
 
 
 def _get(value: Column, path: str, kind: str = "variant") -> Column:
@@ -62,26 +64,49 @@ def _unfold(values: Column) -> Column:
     return F.flatten(F.transform(values, step))
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _deep_postings(blocks: pd.Series) -> pd.Series:
+    """Postings of blocks nested deeper than the unfolding rounds reach; NULL for all others."""
+    def search(text: str | None) -> list[str] | None:
+        if text is None:
+            return None
+        found, pending = [], [json.loads(text)]
+        while pending:
+            value = pending.pop()
+            if isinstance(value, list):
+                pending += value
+            elif isinstance(value, dict):
+                kinds = value.get("@type")
+                if kinds == "JobPosting" or (isinstance(kinds, list) and "JobPosting" in kinds):
+                    found.append(json.dumps(value))
+                pending.append(value.get("@graph"))
+        return found
+
+    return blocks.map(search)
+
+
 def job_postings(pages: DataFrame, html: str = "html", rounds: int = DEFAULT_ROUNDS) -> DataFrame:
     """One row per object whose ``@type`` is, or contains, JobPosting (column ``posting``).
 
-    Objects nested in lists and "@graph" members are reached by ``rounds`` rounds of unfolding.
+    ``rounds`` rounds of unfolding lists and "@graph" members reach any usual nesting inside the JVM; only blocks
+    with something left to unfold afterwards go through a Python helper.
     """
     blocks = ld_blocks(pages, html)
-    level = F.array(F.col("block"))
-    names = []
+    level, names = F.array(F.col("block")), []
     for i in range(rounds):
-        name = f"_level{i}"
-        blocks = blocks.withColumn(name, level)
-        names.append(name)
-        level = _unfold(F.col(name))
+        names.append(f"_level{i}")
+        blocks = blocks.withColumn(names[-1], level)
+        level = _unfold(F.col(names[-1]))
+    blocks = blocks.withColumn("_left", F.size(level) > 0)
+    blocks = blocks.withColumn("_deep", _deep_postings(F.when(F.col("_left"), F.to_json("block"))))
 
     def is_posting(v: Column) -> Column:
         kinds = _get(v, '$["@type"]', "array<string>")
         return F.coalesce(_get(v, '$["@type"]', "string") == "JobPosting", F.lit(False)) \
             | F.coalesce(F.array_contains(kinds, "JobPosting"), F.lit(False))
 
-    found = F.filter(F.flatten(F.array(*[F.col(n) for n in names])), is_posting)
+    near = F.filter(F.flatten(F.array(*[F.col(n) for n in names])), is_posting)
+    found = F.when(F.col("_left"), F.transform("_deep", F.parse_json)).otherwise(near)
     return explode_computed(blocks, [c for c in pages.columns if c != html], found, "posting")
 
 
