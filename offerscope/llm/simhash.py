@@ -2,8 +2,8 @@
 
 Fingerprints: majority bits of the XXH64 of word shingles. Two fingerprints within the radius meet on a common variant when each
 emits its whole ball of half the radius. An odd radius is made even by leaving out one block of bits, once for every block: one
-of the blocks holds a differing bit, so what is left differs in one bit less. For radius 3 and four blocks that is 4 x 49
-variants per distinct fingerprint, whatever the number of rows. Variants are shuffled, colliding fingerprints are compared on
+of the blocks holds a differing bit, so what is left differs in one bit less. For radius 3 and three blocks that is 131 variants
+per distinct fingerprint, whatever the number of rows. Variants are shuffled, colliding fingerprints are compared on
 all bits, and every bucket gives a spanning forest of its true links (not all pairs): same components, linear output.
 
 Equal fingerprints are one node, so copies cost nothing beyond the first. Components are found by components.py.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from offerscope.llm.common import arrow_schema, batch_of, in_batches, partitions_for, stored, text_bytes
 from offerscope.llm.components import components
 
-BITS, BLOCKS, SLICE = 64, 4, 1 << 16
+BITS, BLOCKS, SLICE = 64, 3, 1 << 16
 ROWS_EACH = 2_000_000
 
 
@@ -61,8 +61,8 @@ def _views(radius: int) -> list[tuple[int, int]]:
     """(rotation, bits kept) of every view of a fingerprint that balls are taken in."""
     if radius % 2 == 0:
         return [(0, BITS)]
-    width = BITS // BLOCKS
-    return [(i * width, BITS - width) for i in range(BLOCKS)]
+    ends = [BITS * i // BLOCKS for i in range(BLOCKS + 1)]
+    return [(a, BITS - (b - a)) for a, b in zip(ends, ends[1:])]
 
 
 def variants(fps: np.ndarray, radius: int) -> Iterator[np.ndarray]:
