@@ -14,6 +14,8 @@ of two.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -27,6 +29,8 @@ from offerscope.llm.common import arrow_schema, batch_of, in_batches, stored, te
 
 #: Chunks whose ids a worker keeps; beyond that it starts anew. Punctuation that is cut off a chunk's end.
 CACHE, TAILS = 800_000, b".,!?;:"
+#: Letters that composition leaves alone and that lower() maps one to one.
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -39,12 +43,49 @@ def _tokenizer(path: str):
     return loaded
 
 
+def byte_ranks(path: str) -> tuple[dict[bytes, int], dict[int, int]] | None:
+    """The merges of a byte-level BPE with word ends as ranks of byte strings (a word end is byte 0), and each rank's id.
+
+    None for a tokenizer of another kind. Ranks of joined bytes say the same as ranks of pairs (a test proves it for the file).
+    """
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    if model["type"] != "BPE" or model.get("end_of_word_suffix") != "</w>" or model.get("continuing_subword_prefix"):
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
+
+    def raw(token: str) -> bytes:
+        return bytes(letters[c] for c in token.removesuffix("</w>")) + b"\0" * token.endswith("</w>")
+
+    ranks = {bytes([b]): b for b in range(256)} | {bytes([b, 0]): 256 + b for b in range(1, 256)}
+    for i, merge in enumerate(model["merges"]):
+        left, right = merge if isinstance(merge, list) else merge.split(" ")
+        ranks.setdefault(raw(left) + raw(right), 512 + i)
+    ids = {ranks[key]: number for token, number in model["vocab"].items() if (key := raw(token)) in ranks}
+    return ranks, ids
+
+
 class Encoder:
-    """Ids of texts as packed unsigned integers, chunk by chunk."""
+    """Ids of texts as packed unsigned integers, chunk by chunk.
+
+    Words of plain Latin letters need no more than lower case, so they go to the merges directly, all new ones at once; anything else
+    goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str, cache: int = CACHE):
+        import tiktoken
+
         self.tokenizer, self.cache, self.kept = _tokenizer(path), cache, {}
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        ranked = byte_ranks(path)
+        self.merges = None
+        if ranked:
+            ranks, ids = ranked
+            self.merges = tiktoken.Encoding("words", pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={})
+            self.ids, self.ends = np.zeros(max(ranks.values()) + 1, dtype=self.dtype), np.zeros(max(ranks.values()) + 1, dtype=bool)
+            for key, rank in ranks.items():
+                self.ids[rank], self.ends[rank] = ids.get(rank, 0), key.endswith(b"\0")
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         if len(self.kept) > self.cache:
@@ -57,18 +98,35 @@ class Encoder:
 
     def _learn(self, new: set[bytes]) -> None:
         """Punctuation after an ASCII letter or digit is a token run of its own, so word and tail are encoded apart."""
-        cut = {}
+        kept, cut, plain, other = self.kept, [], set(), set()
         for chunk in new:
             word = chunk.rstrip(TAILS)
-            cut[chunk] = (word, chunk[len(word):]) if word[-1:].isalnum() else (chunk, b"")
-        parts = list({p for two in cut.values() for p in two if p and p not in self.kept})
-        for at in range(0, len(parts), 50_000):
-            some = parts[at:at + 50_000]
-            coded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
-            self.kept.update((p, np.array(e.ids, dtype=self.dtype).tobytes()) for p, e in zip(some, coded))
-        for chunk, (word, tail) in cut.items():
-            if tail:
-                self.kept[chunk] = self.kept[word] + self.kept[tail]
+            if word != chunk:
+                if word[-1:].isalnum():
+                    tail = chunk[len(word):]
+                    cut.append((chunk, word, tail))
+                    if tail not in kept:
+                        other.add(tail)
+                    if word in kept:
+                        continue
+                else:
+                    word = chunk
+            (plain if self.merges and PLAIN(word.decode("utf-8", "replace")) else other).add(word)
+        words = list(plain)
+        for at in range(0, len(words), 50_000):
+            some = words[at:at + 50_000]
+            line = "\0".join([w.decode() for w in some]).lower() + "\0"
+            ranks = np.array(self.merges.encode_ordinary(line), dtype=np.int64)
+            packed, width = self.ids[ranks].tobytes(), self.dtype.itemsize
+            ends = ((np.flatnonzero(self.ends[ranks]) + 1) * width).tolist()
+            kept.update(zip(some, [packed[a:b] for a, b in zip([0, *ends], ends)]))
+        words = list(other)
+        for at in range(0, len(words), 50_000):
+            some = words[at:at + 50_000]
+            coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
+            kept.update((w, np.array(e.ids, dtype=self.dtype).tobytes()) for w, e in zip(some, coded))
+        for chunk, word, tail in cut:
+            kept[chunk] = kept[word] + kept[tail]
 
 
 @lru_cache(maxsize=2)
