@@ -7,7 +7,9 @@ never makes an earlier one possible. The rank map is a literal of the plan, laid
 the character of that number and a token the character 256 + id, so a merge is a replacement of two characters by one.
 
 The corpus is counted once to find its distinct words. The most frequent ones (`DICTIONARY` at most, a bounded table) are folded
-once and handed to the tasks as a dictionary; any other word is folded where it stands. Nothing is dropped, no text is shuffled.
+by Spark and handed to the tasks as a dictionary. Any other word is folded where it stands by the same steps in Python, and ids are
+decoded in Python: a look-up in a literal costs the higher-order functions microseconds, see the README for figures. Nothing is
+dropped and no text is shuffled.
 
 Defined cases: a null or empty text has no ids (both digests are of nothing); repeated rows each get a row; a null id is carried;
 an empty table gives no rows; other columns are ignored.
@@ -20,6 +22,7 @@ import json
 import re
 import zlib
 from collections import Counter
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -29,9 +32,9 @@ from pyspark.sql import functions as F
 
 from offerscope.llm.common import arrow_schema, batch_of, stored, text_bytes
 
-DICTIONARY = 1 << 19
+DICTIONARY = 1 << 17
 #: Distinct chunks a task counts before it tells their words, and chunks whose ids it keeps.
-COUNTED, CHUNKS = 300_000, 200_000
+COUNTED, CHUNKS = 300_000, 600_000
 SLOTS = 1 << 16
 #: White space on both sides of a space, or the end of the text: no cut there.
 NO_CUT = re.compile(r"(?:^|\s) (?:\s|$)")
@@ -63,28 +66,54 @@ def _mark(rank: int) -> str:
     return chr(256 + rank if 256 + rank < 0xD800 else 256 + rank + 0x800)
 
 
+@dataclass(frozen=True)
+class Merges:
+    """The rank map of a vocabulary, and what each merge replaces by what."""
+
+    known: dict[bytes, int]
+    pairs: list[str]
+    marks: list[str]
+    longest: int
+
+    def fold(self, word: bytes) -> list[int]:
+        """Ids of one word: the steps of `Bpe.encode` in Python."""
+        if (whole := self.known.get(word)) is not None and (len(word) == 1 or self.pairs[whole]):
+            return [whole]
+        n = len(word)
+        stretches = (word[i:i + k] for i in range(n - 1) for k in range(2, min(self.longest, n - i) + 1))
+        line = word.decode("latin-1")
+        for rank in sorted(set(map(self.known.get, stretches)) - {None}):
+            if self.pairs[rank]:
+                line = line.replace(self.pairs[rank], self.marks[rank])
+        return [self.known[bytes([c])] if c < 256 else c - 256 if c < 0xD800 else c - 0x900 for c in map(ord, line)]
+
+
+@lru_cache(maxsize=2)
+def merges(path: str) -> Merges:
+    known = ranks(path)
+    size = max(known.values()) + 1
+    pairs = [""] * size
+    for token, rank in known.items():
+        if len(token) > 1 and len(two := halves(token, known)) == 2:
+            pairs[rank] = "".join(chr(x[0]) if len(x) == 1 else _mark(known[x]) for x in two)
+    return Merges(known, pairs, [_mark(i) for i in range(size)], max(map(len, known)))
+
+
 class Bpe:
-    """Column expressions that encode words and decode ids."""
+    """Column expressions that encode words."""
 
     def __init__(self, path: str):
-        self.known = ranks(path)
+        self.merges = merges(path)
         keys: list[list[str]] = [[] for _ in range(SLOTS)]
         merged: list[list[int]] = [[] for _ in range(SLOTS)]
-        size = max(self.known.values()) + 1
-        pairs, self.longest = [""] * size, max(map(len, self.known))
-        for token, rank in self.known.items():
-            if len(token) > 1 and len(two := halves(token, self.known)) == 2:
+        for token, rank in self.merges.known.items():
+            if self.merges.pairs[rank]:
                 slot = zlib.crc32(token) % SLOTS
                 keys[slot].append(base64.b64encode(token).decode())
                 merged[slot].append(rank)
-                pairs[rank] = "".join(chr(x[0]) if len(x) == 1 else _mark(self.known[x]) for x in two)
-        pieces = [""] * size
-        for token, rank in self.known.items():
-            pieces[rank] = token.hex()
         self.keys, self.ranks = _literal(keys, "array<array<binary>>"), _literal(merged, "array<array<int>>")
-        self.pairs, self.pieces = _literal(pairs, "array<string>"), _literal(pieces, "array<string>")
-        self.marks = _literal([_mark(i) for i in range(size)], "array<string>")
-        self.bytes = _literal([self.known[bytes([b])] for b in range(256)], "array<int>")
+        self.pairs, self.marks = _literal(self.merges.pairs, "array<string>"), _literal(self.merges.marks, "array<string>")
+        self.bytes = _literal([self.merges.known[bytes([b])] for b in range(256)], "array<int>")
 
     def rank(self, stretch: Column) -> Column:
         """The id of a stretch of bytes that merges lead to, else null."""
@@ -95,7 +124,7 @@ class Bpe:
         """Ids of a word given as bytes."""
         n = F.octet_length(word)
         stretches = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(
-            F.sequence(F.lit(2), F.least(F.lit(self.longest), n - i + 1)), lambda k: self.rank(F.substring(word, i, k)))))
+            F.sequence(F.lit(2), F.least(F.lit(self.merges.longest), n - i + 1)), lambda k: self.rank(F.substring(word, i, k)))))
         merges = F.array_sort(F.array_distinct(F.array_compact(stretches)))
         folded = F.aggregate(merges, F.decode(word, "ISO-8859-1"),
                              lambda line, r: F.replace(line, F.get(self.pairs, r), F.get(self.marks, r)))
@@ -103,10 +132,6 @@ class Bpe:
         ids = F.transform(marks, lambda c: F.when(c < 256, F.get(self.bytes, c)).when(c < 0xD800, c - 256).otherwise(c - 0x900))
         return F.when(n == 0, F.array().cast("array<int>")).otherwise(ids)
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes of an array of ids: binary pieces put together in hexadecimal form."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
-
 
 def chunks(text: str) -> list[str]:
     """Stretches that no word crosses: the text cut before single spaces. All but the first stand without their leading space."""
@@ -173,68 +198,57 @@ def dictionary(counts: DataFrame, bpe: Bpe, limit: int = DICTIONARY) -> dict[byt
         least = n
     if least is None:
         return {}
-    folded = counts.where(F.col("n") >= least).select("word", bpe.encode(F.col("word")).alias("ids")).toArrow()
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folded = counts.where(F.col("n") >= least).select("word").repartition(tasks).select("word", bpe.encode(F.col("word")).alias("ids")).toArrow()
     return {word: np.array(ids, dtype="<i4").tobytes() for word, ids in zip(folded["word"].to_pylist(), folded["ids"].to_pylist())}
 
 
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text", limit: int = DICTIONARY) -> DataFrame:
     """(doc_id, ids) of every row."""
-    bpe = Bpe(path)
-    known = df.sparkSession.sparkContext.broadcast(dictionary(word_counts(df, pattern, text), bpe, limit))
-    ddl = "doc_id long, known array<int>, at array<int>, rare array<binary>"
-    schema = pa.schema([("doc_id", pa.int64()), ("known", pa.list_(pa.int32())), ("at", pa.list_(pa.int32())),
-                        ("rare", pa.list_(pa.binary()))])
+    known = df.sparkSession.sparkContext.broadcast(dictionary(word_counts(df, pattern, text), Bpe(path), limit))
+    ddl = "doc_id long, ids array<int>"
+    schema = arrow_schema(ddl)
 
     def run(batches):
         import regex
 
-        find, words, kept = regex.compile(pattern).findall, known.value, {}
+        find, words, fold, kept = regex.compile(pattern).findall, known.value, merges(path).fold, {}
 
-        def coded(chunk: str):
-            """Packed ids, or a tuple of packed ids and of words (as lists of one) that the dictionary lacks."""
-            out, line = [], b""
+        def coded(chunk: str) -> bytes:
+            parts = []
             for word in find(chunk):
-                word = word.encode()
-                if (ids := words.get(word)) is not None:
-                    line += ids
-                else:
-                    out += [line, [word]]
-                    line = b""
-            return (*out, line) if out else line
+                raw = word.encode()
+                ids = words.get(raw)
+                parts.append(np.array(fold(raw), dtype="<i4").tobytes() if ids is None else ids)
+            return b"".join(parts)
 
         for whole in batches:
             for begin in range(0, whole.num_rows, 500):
-                batch = whole.slice(begin, 500)
-                ids, at, rare = [], [], []
+                batch, ids = whole.slice(begin, 500), []
                 for t in _texts(batch, 1):
-                    cut = chunks(t)
-                    line, places, missing = bytearray(), [], []
-                    for k, chunk in enumerate(cut):
-                        if not k:
-                            found = coded(chunk)
-                        elif (found := kept.get(chunk)) is None:
-                            found = coded(" " + chunk)
-                            if len(kept) >= CHUNKS:
-                                kept.clear()
-                            kept[chunk] = found
-                        if type(found) is bytes:
-                            line += found
-                        else:
-                            for part in found:
-                                if type(part) is bytes:
-                                    line += part
-                                else:
-                                    places.append(len(line) // 4)
-                                    missing.append(part[0])
-                    ids.append(np.frombuffer(bytes(line), dtype="<i4"))
-                    at.append(places)
-                    rare.append(missing)
-                yield batch_of(schema, batch.column(0), pa.array(ids, type=schema.field("known").type), at, rare)
-
-    found = df.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text)).mapInArrow(run, ddl)
-    stretch = F.transform("rare", lambda word, k: F.concat(
-        F.slice("known", F.coalesce(F.get("at", k - 1), F.lit(0)) + 1,
-                F.get("at", k) - F.coalesce(F.get("at", k - 1), F.lit(0))), bpe.encode(word)))
-    rest = F.slice("known", F.element_at("at", -1) + 1, F.size("known") - F.element_at("at", -1))
-    ids = F.when(F.size("rare") == 0, F.col("known")).otherwise(F.flatten(F.concat(stretch, F.array(rest))))
-    return found.select("doc_id", ids.alias("ids"))
+                    first, *later = chunks(t)
+                    found = list(map(kept.get, later))
+                    if None in found:
+                        for k, (chunk, known_ids) in enumerate(zip(later, found)):
+                            if known_ids is None:
+                                if len(kept) >= CHUNKS:
+                                    kept.clear()
+                                found[k] = kept[chunk] = coded(" " + chunk)
+                    ids.append(np.frombuffer(coded(first) + b"".join(found), dtype="<i4"))
+                yield batch_of(schema, batch.column(0), pa.array(ids, type=pa.list_(pa.int32())))
+
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text)).mapInArrow(run, ddl)
+
+
+def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
+    """Add the bytes that an array of ids stands for: the ids' binary pieces, one after the other. Null ids give null."""
+    known = ranks(path)
+    pieces = [b""] * (max(known.values()) + 1)
+    for token, rank in known.items():
+        pieces[rank] = token
+
+    @F.arrow_udf("binary")
+    def joined(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else b"".join([pieces[i] for i in v]) for v in values.to_pylist()], type=pa.binary())
+
+    return df.withColumn(name, joined(ids))
