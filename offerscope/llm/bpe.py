@@ -34,7 +34,7 @@ from offerscope.llm.common import arrow_schema, batch_of, stored, text_bytes
 
 DICTIONARY = 1 << 17
 #: Distinct chunks a task counts before it tells their words, and chunks whose ids it keeps.
-COUNTED, CHUNKS = 300_000, 600_000
+COUNTED, CHUNKS = 200_000, 250_000
 SLOTS = 1 << 16
 #: White space on both sides of a space, or the end of the text: no cut there.
 NO_CUT = re.compile(r"(?:^|\s) (?:\s|$)")
