@@ -97,7 +97,7 @@ class Cascade:
 
 def _shape(inside: int, outside: int, level: int) -> tuple[int, int]:
     """Hash functions and bits: a rare false positive at level 0, one in two afterwards, as that keeps all levels small."""
-    rate = min(0.5, math.sqrt(0.5) * inside / max(1, outside)) if level == 0 else 0.5
+    rate = min(0.5, math.sqrt(0.5) * max(1, inside) / max(1, outside)) if level == 0 else 0.5
     return max(1, round(-math.log2(rate))), max(64, math.ceil(inside * 1.45 * -math.log2(rate) / 64) * 64)
 
 
