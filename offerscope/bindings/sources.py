@@ -130,14 +130,14 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", jsonld.html_to_text(F.col("html")).alias("text"))
 
 
-@query("listed_urls", "SELECT page_id, url FROM pages WHERE page_id % 3 <> 0 AND url IN (SELECT url FROM pages WHERE page_id % 3 <> 0)")
+@query("listed_urls", "SELECT page_id, url FROM pages WHERE url IN (SELECT url FROM pages WHERE page_id % 3 <> 0)")
 def listed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A URL list written with comments and blank lines, read back and used as the semi-join key."""
     path = shared_dir(spark, "urls")
     pages = table(spark, sf_dir, "pages")
     line = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("  # "), "url")).otherwise(F.concat(F.lit(" "), "url", F.lit("  ")))
     pages.select(F.concat(line, F.lit("\n")).alias("value")).write.text(path)
-    return pages.where(F.col("page_id") % 3 != 0).join(jsonld.read_urls(spark, path), "url", "left_semi") \
+    return pages.join(jsonld.read_urls(spark, path), "url", "left_semi") \
         .select("page_id", "url")
 
 

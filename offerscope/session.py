@@ -30,7 +30,11 @@ def build_session(app: str = "offerscope", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the checkpoint location the cluster names.
 
-    Only where no such setting exists, as in tests, a local temporary folder stands in for it.
+    Only in a local session without such a setting, as in tests, a temporary folder stands in for it; a cluster must name one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "offerscope")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = os.path.join(tempfile.gettempdir(), "offerscope")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -111,15 +111,25 @@ def job_postings(pages: DataFrame, html: str = "html", rounds: int = DEFAULT_ROU
 
 
 def _entity_decoded(text: Column) -> Column:
-    """Named (HTML 4) and numeric character references decoded, each exactly once; the semicolon may be missing."""
-    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+    """Named (HTML 4) and numeric character references decoded, each exactly once; the semicolon may be missing.
+
+    Numbers 128 to 159 are read as windows-1252; zero, surrogates and numbers that are no code point give U+FFFD.
+    """
+    named = {**name2codepoint, "apos": ord("'")}
+    names = F.create_map(*[F.lit(x) for name, code in named.items() for x in (name, chr(code))])
+    windows = F.create_map(*[F.lit(x) for b in range(0x80, 0xA0) if (c := bytes([b]).decode("cp1252", "ignore"))
+                             for x in (f"{b:X}", f"{ord(c):X}")])
 
     def piece(p: Column) -> Column:
         name = F.regexp_extract(p, r"^&([A-Za-z][A-Za-z0-9]*)", 1)
-        decimal = F.regexp_extract(p, r"^&#(\d{1,7})", 1)
-        hexa = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]{1,6})", 1)
-        code = F.when(hexa != "", hexa).when(decimal != "", F.hex(decimal.try_cast("bigint")))
-        rest = F.regexp_replace(p, r"^&(#[xX][0-9a-fA-F]{1,6}|#\d{1,7}|[A-Za-z][A-Za-z0-9]*);?", "")
+        decimal = F.regexp_extract(p, r"^&#0*(\d+)", 1)
+        hexa = F.regexp_extract(p, r"^&#[xX]0*([0-9a-fA-F]+)", 1)
+        number = F.when(hexa != "", F.upper(hexa)).when(decimal != "", F.coalesce(
+            F.hex(decimal.try_cast("bigint")), F.lit("FFFFFFFFF")))
+        size = F.length(number)
+        wrong = (size > 6) | ((size == 6) & (number > "10FFFF")) | ((size == 4) & number.between("D800", "DFFF")) | (number == "0")
+        code = F.when(wrong, F.lit("FFFD")).otherwise(F.coalesce(F.try_element_at(windows, number), number))
+        rest = F.regexp_replace(p, r"^&(#[xX][0-9a-fA-F]+|#\d+|[A-Za-z][A-Za-z0-9]*);?", "")
         char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
         return (F.when(code.isNotNull(), F.concat(char, rest))
                 .when(name == "", p)

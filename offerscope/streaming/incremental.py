@@ -22,9 +22,10 @@ def start(spark: SparkSession, raw_dir: str, staging_dir: str, checkpoint_dir: s
           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Processes what has landed since the last run, then stops.
 
+    A line that is not a record ends the run, as it does in `read_landing`; it is never taken for an empty record.
     A batch replayed after a failure overwrites its own folder, so no record is staged twice.
     """
-    reader = (spark.readStream.schema(schemas.RAW).option("recursiveFileLookup", True)
+    reader = (spark.readStream.schema(schemas.RAW).option("mode", "FAILFAST").option("recursiveFileLookup", True)
               .option("pathGlobFilter", "*.json*"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

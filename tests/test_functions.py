@@ -116,7 +116,7 @@ LOCATIONS = [
     ("France", UNKNOWN, UNKNOWN, None), (None, UNKNOWN, UNKNOWN, None), ("", UNKNOWN, UNKNOWN, None),
     ("Télétravail", UNKNOWN, UNKNOWN, None), ("  ", UNKNOWN, UNKNOWN, None),
     ("Lille-Nord", "Lille", "Hauts-de-France", "59"),
-    ("Aix-en-Provence Sud-Ouest", "Aix-En-Provence" if False else "Aix-en-Provence", "Provence-Alpes-Côte d'Azur", "13"),
+    ("Aix-en-Provence Sud-Ouest", "Aix-en-Provence", "Provence-Alpes-Côte d'Azur", "13"),
     ("Saint Etienne (42)", "Saint-Étienne", "Auvergne-Rhône-Alpes", "42"),
     ("MARSEILLE CEDEX 08", "Marseille", "Provence-Alpes-Côte d'Azur", "13"),
     ("2A - Porto-Vecchio", "Porto-Vecchio", "Corse", "2A"),
