@@ -174,13 +174,14 @@ def word_counts(df: DataFrame, pattern: str, text: str = "text") -> DataFrame:
                 part = found[at:at + 50_000]
                 yield batch_of(schema, [w.encode() for w, _ in part], [n for _, n in part])
 
-        for batch in batches:
-            for t in _texts(batch, 0):
-                cut = chunks(t)
-                first[cut[0]] += 1
-                later.update(cut[1:])
-                if len(later) + len(first) > COUNTED:
-                    yield from told()
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 500):
+                for t in _texts(whole.slice(begin, 500), 0):
+                    cut = chunks(t)
+                    first[cut[0]] += 1
+                    later.update(cut[1:])
+                    if len(later) + len(first) > COUNTED:
+                        yield from told()
         yield from told()
 
     return df.select(text_bytes(text)).mapInArrow(run, ddl).groupBy("word").agg(F.sum("n").alias("n"))
