@@ -21,6 +21,7 @@ import base64
 import json
 import re
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,6 +37,8 @@ DICTIONARY = 1 << 17
 #: Distinct chunks a task counts before it tells their words, and chunks whose ids it keeps.
 COUNTED, CHUNKS = 200_000, 250_000
 SLOTS = 1 << 16
+#: Bytes of a word whose pairs are merged one by one, and the rank of a pair that is no token.
+SHORT, NONE = 64, 1 << 31
 #: White space on both sides of a space, or the end of the text: no cut there.
 NO_CUT = re.compile(r"(?:^|\s) (?:\s|$)")
 
@@ -76,10 +79,13 @@ class Merges:
     longest: int
 
     def fold(self, word: bytes) -> list[int]:
-        """Ids of one word: the steps of `Bpe.encode` in Python."""
+        """Ids of one word in Python. Of a usual word the lowest-ranked pair of neighbours is merged until none is left, which
+        needs few look-ups; a very long one takes the steps of `Bpe.encode`, whose time does not grow with the square."""
         if (whole := self.known.get(word)) is not None and (len(word) == 1 or self.pairs[whole]):
             return [whole]
         n = len(word)
+        if n <= SHORT:
+            return self._merged(word)
         stretches = (word[i:i + k] for i in range(n - 1) for k in range(2, min(self.longest, n - i) + 1))
         line = word.decode("latin-1")
         for rank in sorted(set(map(self.known.get, stretches)) - {None}):
@@ -88,6 +94,20 @@ class Merges:
         return [self.known[bytes([c])] if c < 256 else c - 256 if c < 0xD800 else c - 0x900 for c in map(ord, line)]
 
 
+    def _merged(self, word: bytes) -> list[int]:
+        get, parts = self.known.get, [word[i:i + 1] for i in range(len(word))]
+        found = [get(word[i:i + 2], NONE) for i in range(len(word) - 1)]
+        while found and (least := min(found)) != NONE:
+            i = found.index(least)
+            parts[i] += parts.pop(i + 1)
+            del found[i]
+            if i < len(found):
+                found[i] = get(parts[i] + parts[i + 1], NONE)
+            if i:
+                found[i - 1] = get(parts[i - 1] + parts[i], NONE)
+        return [self.known[part] for part in parts]
+
+
 @lru_cache(maxsize=2)
 def merges(path: str) -> Merges:
     known = ranks(path)
@@ -163,11 +183,11 @@ def word_counts(df: DataFrame, pattern: str, text: str = "text") -> DataFrame:
         find, later, first = regex.compile(pattern).findall, Counter(), Counter()
 
         def told():
-            words: Counter = Counter()
+            words: dict[str, int] = {}
             for counts, lead in ((later, " "), (first, "")):
                 for chunk, n in counts.items():
                     for word in find(lead + chunk):
-                        words[word] += n
+                        words[word] = words.get(word, 0) + n
                 counts.clear()
             found = list(words.items())
             for at in range(0, len(found), 50_000):
@@ -213,14 +233,15 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text:
     def run(batches):
         import regex
 
-        find, words, fold, kept = regex.compile(pattern).findall, known.value, merges(path).fold, {}
+        find, words, fold = regex.compile(pattern).findall, known.value, merges(path).fold
+        kept, older = {}, {}  # two generations: what is still in use outlives the older one
 
         def coded(chunk: str) -> bytes:
             parts = []
             for word in find(chunk):
                 raw = word.encode()
                 ids = words.get(raw)
-                parts.append(np.array(fold(raw), dtype="<i4").tobytes() if ids is None else ids)
+                parts.append(array("i", fold(raw)).tobytes() if ids is None else ids)
             return b"".join(parts)
 
         for whole in batches:
@@ -232,9 +253,10 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text:
                     if None in found:
                         for k, (chunk, known_ids) in enumerate(zip(later, found)):
                             if known_ids is None:
-                                if len(kept) >= CHUNKS:
-                                    kept.clear()
-                                found[k] = kept[chunk] = coded(" " + chunk)
+                                if len(kept) >= CHUNKS // 2:
+                                    kept, older = {}, kept
+                                old = older.get(chunk)
+                                found[k] = kept[chunk] = coded(" " + chunk) if old is None else old
                     ids.append(np.frombuffer(coded(first) + b"".join(found), dtype="<i4"))
                 yield batch_of(schema, batch.column(0), pa.array(ids, type=pa.list_(pa.int32())))
 
@@ -250,6 +272,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") ->
 
     @F.arrow_udf("binary")
     def joined(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else b"".join([pieces[i] for i in v]) for v in values.to_pylist()], type=pa.binary())
+        ends, flat, there = values.offsets.to_pylist(), values.values.to_numpy(), values.is_valid().to_pylist()
+        return pa.array([b"".join(map(pieces.__getitem__, flat[a:b].tolist())) if valid else None
+                         for a, b, valid in zip(ends, ends[1:], there)], type=pa.binary())
 
     return df.withColumn(name, joined(ids))
