@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from offerscope.bindings.registry import half_up, query, table
 from offerscope.operators import skills as S, terms as T
-from offerscope.operators.skew import explode_computed, spread
+from offerscope.operators.skew import explode_computed
 from offerscope.vocab.skills import Skill
 from offerscope.vocab.stopwords import FRENCH, RECRUITMENT
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 # A small dictionary over the words of the documents: plain, optional ending, look-ahead, case-sensitive, several words.

@@ -10,7 +10,7 @@ from offerscope.bindings.registry import MIDDLE, half_up, nearest, pct, query, r
 from offerscope.functions.labels import flag
 from offerscope.functions.text import percent, round_half_up
 from offerscope.operators import checks
-from offerscope.operators.groups import (crosstab, fixed_bins, rank_within, seeded_sample, share_of_total,
+from offerscope.operators.groups import (crosstab, fixed_bins, rank_by, rank_within, seeded_sample, share_of_total,
                                          share_within, top_n, top_n_per_group, value_counts, weighted_mean,
                                          with_grand_total)
 from offerscope.operators.pairs import pair_lift
@@ -19,7 +19,6 @@ from offerscope.operators.quantiles import BOX, QUARTILES_NEAREST, Quantile, qua
 from offerscope.plans.profile import median_matrix, rates
 
 # Closed domains of the order tables: priorities, states, market segments, nations.
-PRIORITIES, STATES, SEGMENTS, NATIONS = 5, 3, 5, 25
 
 
 def _cents(value: str):
@@ -45,7 +44,7 @@ SELECT COUNT(*) AS nb_orders, COUNT(DISTINCT o_custkey) AS nb_customers,
 FROM orders""")
 def kpi_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    middle = quantiles(orders, [], "o_totalprice", [Quantile("m")], group_bound=1).select("m").scalar()
+    middle = quantiles(orders, [], "o_totalprice", [Quantile("m")]).select("m").scalar()
     known = F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority"))
     done = flag(F.col("o_orderstatus") == "F")
     pressing = flag(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
@@ -66,7 +65,7 @@ FROM {ranked('orders', 'o_orderpriority, o_orderstatus', 'o_totalprice')}
 GROUP BY o_orderpriority, o_orderstatus""")
 def salary_by_role_seniority(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, keys = table(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"]
-    ranks = quantiles(orders, keys, "o_totalprice", QUARTILES_NEAREST, group_bound=PRIORITIES * STATES)
+    ranks = quantiles(orders, keys, "o_totalprice", QUARTILES_NEAREST)
     moments = orders.groupBy(*keys).agg(F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"),
                                         _mean("o_totalprice").alias("mean"))
     n = F.col("n")
@@ -78,7 +77,7 @@ def salary_by_role_seniority(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_custkey, MAX(cnt) AS n, AVG(v) FILTER (WHERE {MIDDLE}) AS median, {nearest(0.25)} AS q1, {nearest(0.75)} AS q3
 FROM {ranked('orders', 'o_custkey', 'o_totalprice')} GROUP BY o_custkey""")
 def median_open_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Medians over an open-ended grouping: no bound on the number of groups, so nothing is broadcast."""
+    """Medians over an open-ended grouping."""
     return quantiles(table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", QUARTILES_NEAREST)
 
 
@@ -96,8 +95,7 @@ def city_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     located = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("city"), F.col("r_name").alias("region"), "c_acctbal", "c_mktsegment")
-    middle = quantiles(located.where(F.col("c_acctbal") >= 0), ["city"], "c_acctbal", [Quantile("m")],
-                       group_bound=NATIONS).withColumnRenamed("n", "n_balance")
+    middle = quantiles(located.where(F.col("c_acctbal") >= 0), ["city"], "c_acctbal", [Quantile("m")]).withColumnRenamed("n", "n_balance")
     industry = flag(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
     total = customer.agg(F.count(F.lit(1)).alias("n")).scalar()
     out = share_of_total(located, ["city", "region"],
@@ -119,7 +117,7 @@ def sector_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     debt = flag(F.col("c_acctbal") < 0)
     total = customer.agg(F.count(F.lit(1)).alias("n")).scalar()
     out = share_of_total(customer, ["c_mktsegment"], [percent(F.sum(debt), F.count(debt)).alias("pct_in_debt")], total)
-    middle = quantiles(customer, ["c_mktsegment"], "c_acctbal", [Quantile("m")], group_bound=SEGMENTS).drop("n")
+    middle = quantiles(customer, ["c_mktsegment"], "c_acctbal", [Quantile("m")]).drop("n")
     return out.join(middle, "c_mktsegment", "left").select(
         F.col("c_mktsegment").alias("sector"), "n", "share_pct", round_half_up(F.col("m"), 2).alias("median_balance"),
         "pct_in_debt")
@@ -157,7 +155,7 @@ def skills_by_role_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("skill_premium", f"""
 WITH {_BRANDS},
-measured AS (SELECT o_orderkey, ROUND(o_totalprice / 100) * 100 AS price FROM orders),
+measured AS (SELECT o_orderkey, o_totalprice AS price FROM orders),
 grid AS (SELECT b.p_brand, m.price, CASE WHEN l.o_orderkey IS NULL THEN 0 ELSE 1 END AS has
          FROM (SELECT DISTINCT p_brand FROM part) b CROSS JOIN measured m
          LEFT JOIN links l ON l.p_brand = b.p_brand AND l.o_orderkey = m.o_orderkey),
@@ -169,7 +167,7 @@ SELECT w.p_brand, w.n AS n_with, wo.n AS n_without, {half_up('w.median', 0)} AS
 FROM med w JOIN med wo ON wo.p_brand = w.p_brand AND wo.has = 0 WHERE w.has = 1 AND w.n >= 10""")
 def skill_premium(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", (F.round(F.col("o_totalprice") / 100) * 100).alias("price"))
+        "o_orderkey", F.col("o_totalprice").alias("price"))
     return premium(orders, brand_links(spark, sf_dir), "o_orderkey", "p_brand", "price")
 
 
@@ -259,7 +257,7 @@ WITH cells AS (SELECT o_orderpriority, o_orderstatus, ROUND(AVG(v) FILTER (WHERE
 SELECT o_orderpriority, {half_up('SUM(m * n) / SUM(n)', 4)} AS mean_of_medians FROM cells GROUP BY o_orderpriority""")
 def weighted_median_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = quantiles(table(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"], "o_totalprice",
-                      [Quantile("m")], group_bound=PRIORITIES * STATES)
+                      [Quantile("m")])
     out = weighted_mean(cells.withColumn("m", F.round("m")), ["o_orderpriority"], "m", "n", "mean_of_medians")
     return out.withColumn("mean_of_medians", round_half_up(F.col("mean_of_medians"), 4))
 
@@ -290,8 +288,7 @@ def conditional_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     area = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("capital")) \
         .when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.lit("regions"))
     orders = table(spark, sf_dir, "orders").withColumn("area", area)
-    middle = quantiles(orders.where(F.col("area").isNotNull()), ["area"], "o_totalprice", [Quantile("median")],
-                       group_bound=2)
+    middle = quantiles(orders.where(F.col("area").isNotNull()), ["area"], "o_totalprice", [Quantile("median")])
     done = flag(F.col("o_orderstatus") == "F")
     outside = orders.where(~F.col("area").eqNullSafe("capital")).agg(
         percent(F.sum(done), F.count(done), 4).alias("x")).scalar()
@@ -322,10 +319,10 @@ def semi_join_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("anti_join_customers", """
-SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""")
 def anti_join_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, sf_dir, "customer").join(orders, "c_custkey", "left_anti").select("c_custkey", "c_name")
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, sf_dir, "customer").join(urgent, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
 @query("role_volume_max", f"""
@@ -370,7 +367,7 @@ SELECT user_id, event_type, n, RANK() OVER (PARTITION BY event_type ORDER BY n D
 FROM (SELECT user_id, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2)""")
 def rank_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
-    return rank_within(counted, ["event_type"], [F.desc("n")])
+    return rank_by(counted, ["event_type"], "n").select("user_id", "event_type", "n", "rank")
 
 
 @query("seeded_sample", """
@@ -392,7 +389,7 @@ SELECT c_mktsegment, COUNT(*) AS n, {half_up('QUANTILE_CONT(c_acctbal, 0.25)', 4
        MIN(c_acctbal) AS low, MAX(c_acctbal) AS high FROM customer GROUP BY c_mktsegment""")
 def box_plot(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    box = quantiles(customer, ["c_mktsegment"], "c_acctbal", BOX, group_bound=SEGMENTS)
+    box = quantiles(customer, ["c_mktsegment"], "c_acctbal", BOX)
     box = box.withColumns({q.name: round_half_up(F.col(q.name), 4) for q in BOX})
     ends = customer.groupBy("c_mktsegment").agg(F.min("c_acctbal").alias("low"), F.max("c_acctbal").alias("high"))
     return box.join(ends, "c_mktsegment")
@@ -410,7 +407,7 @@ SELECT o_orderpriority, MAX(CASE WHEN o_orderstatus = 'F' AND n >= 100 THEN m EN
 FROM cells GROUP BY o_orderpriority""")
 def pivot_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = median_matrix(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O"],
-                        "o_totalprice", minimum=100, group_bound=PRIORITIES * STATES)
+                        "o_totalprice", minimum=100)
     return out.withColumn("row_mean", round_half_up(F.col("row_mean"), 4))
 
 

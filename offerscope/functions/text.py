@@ -2,42 +2,44 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-# Code point ranges whose compatibility decomposition is applied (alphabets, punctuation, full-width forms).
-_FOLD_RANGES = ((0x80, 0x2200), (0x3000, 0x3001), (0xFB00, 0xFB07), (0xFF00, 0xFFF0), (0x1D400, 0x1D800))
-# Ranges whose members may expand to several characters (ligatures, fractions, "…", "™").
-_EXPAND_RANGES = ((0x80, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2190), (0xFB00, 0xFB07))
-
-
 def _decomposed(code: int) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
 
 
-def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
-    """Folding tables computed from the Unicode database: kept chars with their target, then dropped ones."""
-    single, dropped, expanded = [], [], []
-    for first, last in _FOLD_RANGES:
-        for code in range(first, last):
+def _fold_tables() -> tuple[str, str, dict[int, str]]:
+    """What every code point decomposes to, by the Unicode database: one character, none, or several.
+
+    Hangul syllables are left to ``_spelled_out``, which takes them apart by arithmetic.
+    """
+    single, dropped, expanded = [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
+        char = chr(code)
+        if unicodedata.decomposition(char) or unicodedata.combining(char):
             target = _decomposed(code)
-            if target == chr(code):
-                continue
-            if len(target) == 1:
-                single.append((chr(code), target))
+            if len(target) > 1:
+                expanded[code] = target
             elif not target:
-                dropped.append(chr(code))
-    for first, last in _EXPAND_RANGES:
-        expanded += [(chr(c), _decomposed(c)) for c in range(first, last) if len(_decomposed(c)) > 1]
+                dropped.append(char)
+            elif target != char:
+                single.append((char, target))
     source = "".join(s for s, _ in single) + "".join(dropped)
     return source, "".join(t for _, t in single), expanded
 
 
 _FOLD_FROM, _FOLD_TO, _EXPANDED = _fold_tables()
-_EXPANDED_CHARS = "".join(c for c, _ in _EXPANDED)
-_EXPANSIONS = "|".join(c + t for c, t in _EXPANDED)
+_EXPANDED_CHARS = "".join(map(chr, _EXPANDED))
+# One text of all expansions, each behind a mark: small enough for plans that repeat a column's expression.
+_MARK = "\x01"
+_TABLE = _MARK + "".join(chr(code) + target + _MARK for code, target in _EXPANDED.items())
+_LONGEST = max(map(len, _EXPANDED.values())) + 1
+# Leading consonants, vowels and trailing consonants that Hangul syllables consist of.
+_SYLLABLES, _JAMO = (0xAC00, 0xD7A3), [("".join(map(chr, range(first, first + n)))) for first, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27))]
 # Blanks: those below U+0080 the collapsing regex looks for, and all of them for trimming.
 _ASCII_BLANKS = "[ \\t\\n\\x0B\\f\\r\\x1c-\\x1f]+"
 _ALL_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -56,13 +58,26 @@ def strip_accents(text: Column, extra: tuple[str, str] = ("", "")) -> Column:
 
     ``extra`` adds one-to-one replacements (from, to) to the same pass.
     """
-    folded = F.translate(text, extra[0] + _FOLD_FROM, extra[1] + _FOLD_TO)
-    pairs = F.split(F.lit(_EXPANSIONS), "[|]")
-    spelled_out = F.aggregate(pairs, folded, lambda done, pair: F.replace(
-        done, F.substring(pair, 1, 1), F.substring(pair, 2, 1 << 30)))
-    return (F.when(F.octet_length(text) == F.length(text), text)
-            .when(F.translate(text, _EXPANDED_CHARS, "") != text, spelled_out)
-            .otherwise(folded))
+    short = F.replace(text, F.lit("…"), F.lit("..."))
+    several = (F.translate(short, _EXPANDED_CHARS, "") != short) | short.rlike("[\uac00-\ud7a3]")
+    whole = F.when(several, _spelled_out(short)).otherwise(short)
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(
+        F.translate(whole, extra[0] + _FOLD_FROM, extra[1] + _FOLD_TO))
+
+
+def _spelled_out(text: Column) -> Column:
+    """Each character that stands for several replaced by them."""
+    def char(c: Column) -> Column:
+        code = F.ascii(c)
+        index = code - _SYLLABLES[0]
+        parts = [F.substring(F.lit(jamo), at.cast("int"), F.lit(1)) for jamo, at in zip(
+            _JAMO, (F.floor(index / 588) + 1, F.floor(index % 588 / 28) + 1, index % 28))]
+        tail = F.when(index % 28 > 0, parts[2]).otherwise("")
+        at = F.position(F.concat(F.lit(_MARK), c), F.lit(_TABLE))
+        found = F.substring_index(F.substring(F.lit(_TABLE), at + 2, F.lit(_LONGEST)), _MARK, 1)
+        return F.when(code < 0x80, c).when(code.between(*_SYLLABLES), F.concat(*parts[:2], tail)).when(at > 0, found).otherwise(c)
+
+    return F.array_join(F.transform(F.split(text, ""), char), "")
 
 
 def fold(text: Column) -> Column:

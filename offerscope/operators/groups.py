@@ -48,6 +48,15 @@ def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column], r
     return df.withColumn(rank, F.rank().over(Window.partitionBy(*groups).orderBy(*order)))
 
 
+def rank_by(df: DataFrame, groups: Sequence[str], value: str, rank: str = "rank") -> DataFrame:
+    """Competition ranking by falling ``value`` where many rows tie: equal values are counted first, so that only a
+    group's distinct values are ordered, and the rows look their rank up. Groups and values must not be NULL."""
+    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_rows"))
+    above = Window.partitionBy(*groups).orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = counts.select(*groups, value, (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).cast("int").alias(rank))
+    return df.join(ranks, [*groups, value])
+
+
 def weighted_mean(df: DataFrame, groups: Sequence[str], value: str, weight: str, name: str) -> DataFrame:
     return df.groupBy(*groups).agg(
         F.try_divide(F.sum(F.col(value) * F.col(weight)), F.sum(weight)).alias(name))

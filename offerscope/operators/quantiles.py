@@ -5,11 +5,8 @@ per *value bucket*: a monotone integer that splits each power of two into ``2**b
 combined on the map side, so a group holding a third of the table still arrives as a few thousand rows. Their running
 totals tell which bucket holds a wanted rank, and only the distinct values of that one bucket are ranked.
 
-Two routes give the same result:
-
-* ``group_bound`` known and small (a closed vocabulary): the wanted buckets are broadcast and the input is read a
-  second time, keeping only the rows of those buckets. Nothing large is shuffled.
-* otherwise: the (group, value) histogram is built once and its prefix sums are computed bucket by bucket.
+The input is read a second time for the rows of the wanted buckets only. The planner joins the two: it broadcasts the
+wanted buckets if their measured size allows, and else meets them with the few rows of those buckets by a shuffle.
 """
 
 from __future__ import annotations
@@ -20,18 +17,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICE_BITS = 12
-MAX_BROADCAST_TARGETS = 100_000
 _KEY = ["_group"]
 
 
 def value_bucket(value: Column, bits: int = SLICE_BITS) -> Column:
     """Monotone bucket number of a double: exponent first, then ``bits`` bits of the mantissa."""
-    size = F.abs(value)
+    endless = F.abs(value) == float("inf")
+    size = F.when(~endless, F.abs(value))
     exponent = F.floor(F.log2(size))
     fraction = size / F.pow(F.lit(2.0), exponent) - 1
     slices = 1 << bits
     number = (exponent + 1100) * slices + F.floor(fraction * slices)
-    return F.when(value == 0, F.lit(0).cast("long")).when(value > 0, number).otherwise(-number)
+    return F.when(value == 0, F.lit(0).cast("long")).when(endless, F.signum(value).cast("long") * 4000 * slices).when(value > 0, number).otherwise(-number)
 
 
 @dataclass(frozen=True)
@@ -126,18 +123,9 @@ def histogram(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
 
 
 def quantiles(df: DataFrame, groups: Sequence[str], value: str, stats: Sequence[Quantile],
-              group_bound: int | None = None, bits: int = SLICE_BITS) -> DataFrame:
-    """Exact statistics of ``value`` per group: (groups..., n, one column per statistic).
-
-    ``group_bound`` is a proven upper bound of the number of groups, or None when they are open-ended.
-    """
+              bits: int = SLICE_BITS) -> DataFrame:
+    """Exact statistics of ``value`` per group: (groups..., n, one column per statistic). NULL and NaN take no part."""
     keys = list(groups)
-    targets = None if group_bound is None else 2 * len(stats) * group_bound
-    if targets is None or targets > MAX_BROADCAST_TARGETS:
-        hist = histogram(_null_safe(df, keys), _KEY, value)
-        ranked = prefix_counts(hist, _KEY, bits=bits)
-        return _restore(pick_ranks(ranked, _KEY, stats), keys)
-
     rows = _null_safe(df, keys).select("_group", F.col(value).cast("double").alias("value"))
     rows = rows.where(F.col("value").isNotNull() & ~F.isnan("value"))
     rows = rows.withColumn("_bucket", value_bucket(F.col("value"), bits))
@@ -153,7 +141,7 @@ def quantiles(df: DataFrame, groups: Sequence[str], value: str, stats: Sequence[
         wanted = wanted | h
     wanted_buckets = totals.where(wanted).select("_group", "_bucket", begin.alias("_before"), "_n")
 
-    near = rows.join(F.broadcast(wanted_buckets), ["_group", "_bucket"])
+    near = rows.join(wanted_buckets, ["_group", "_bucket"])
     hist = near.groupBy("_group", "_bucket", "_before", "_n", "value").agg(F.count(F.lit(1)).alias("count"))
     inside = Window.partitionBy("_group", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = hist.withColumn("_upto", F.col("_before") + F.sum("count").over(inside))
@@ -170,9 +158,8 @@ def _restore(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col("_group")[k].alias(k) for k in keys], *[c for c in df.columns if c != "_group"])
 
 
-def median(df: DataFrame, groups: Sequence[str], value: str, name: str = "median",
-           group_bound: int | None = None) -> DataFrame:
-    return quantiles(df, groups, value, [Quantile(name)], group_bound)
+def median(df: DataFrame, groups: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    return quantiles(df, groups, value, [Quantile(name)])
 
 
 QUARTILES_NEAREST = (Quantile("q1", "nearest", 0.25), Quantile("median"), Quantile("q3", "nearest", 0.75))

@@ -28,12 +28,3 @@ def explode_computed(df: DataFrame, keep: Sequence[str], elements: Column, name:
     twice. The outer form does not; the rows of empty arrays are dropped afterwards.
     """
     return df.select(*keep, F.explode_outer(elements).alias(name)).where(F.col(name).isNotNull())
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin redistribution of inputs with fewer files than cores; larger inputs stay as they are.
-
-    For steps that burn CPU on every row: a single small file would keep one core busy.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -56,7 +56,7 @@ def capital_medians(w: Warehouse) -> DataFrame:
     area = F.when(F.col("region") == V.CAPITAL_REGION, F.lit("capital")) \
             .when(F.col("region") != V.UNKNOWN, F.lit("regions"))
     located = w.offers.withColumn("area", area).where(F.col("area").isNotNull())
-    return quantiles(located, ["area"], "salary_mid", [Quantile("value")], group_bound=2)
+    return quantiles(located, ["area"], "salary_mid", [Quantile("value")])
 
 
 def remote_outside_capital(w: Warehouse) -> DataFrame:

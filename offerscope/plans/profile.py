@@ -10,7 +10,6 @@ from offerscope.functions.labels import flag
 from offerscope.functions.text import percent
 from offerscope.operators.groups import crosstab, fixed_bins, seeded_sample, top_n, value_counts
 from offerscope.operators.quantiles import BOX, Quantile, quantiles
-from offerscope.plans.views import ROLE_BOUND, ROLE_SENIORITY_BOUND
 from offerscope.plans.warehouse import Warehouse
 from offerscope.vocab import labels as V
 
@@ -89,18 +88,17 @@ def salary_box(w: Warehouse) -> DataFrame:
     """Spread per role: interpolated quartiles, minimum, maximum."""
     ends = w.offers.where(F.col("salary_mid").isNotNull()).groupBy("role_family").agg(
         F.min("salary_mid").alias("low"), F.max("salary_mid").alias("high"))
-    box = quantiles(w.offers, ["role_family"], "salary_mid", BOX, group_bound=ROLE_BOUND)
+    box = quantiles(w.offers, ["role_family"], "salary_mid", BOX)
     return box.join(ends, "role_family")
 
 
-def median_matrix(offers: DataFrame, row: str, column: str, columns: Sequence[str], value: str, minimum: int = 5,
-                  group_bound: int | None = None) -> DataFrame:
+def median_matrix(offers: DataFrame, row: str, column: str, columns: Sequence[str], value: str, minimum: int = 5) -> DataFrame:
     """One line per ``row`` with the median and the size of each column; medians of small cells are hidden.
 
     ``row_mean`` (mean of the shown medians) orders the lines of a heat map.
     """
     wanted = offers.where(F.col(column).isin(*columns))
-    cells = quantiles(wanted, [row, column], value, [Quantile("m")], group_bound=group_bound)
+    cells = quantiles(wanted, [row, column], value, [Quantile("m")])
     shown = F.when(F.col("n") >= minimum, F.col("m"))
     matrix = cells.groupBy(row).pivot(column, list(columns)).agg(F.max(shown).alias("median"), F.max("n").alias("n"))
     medians = [F.col(f"`{c}_median`") for c in columns]
@@ -110,8 +108,7 @@ def median_matrix(offers: DataFrame, row: str, column: str, columns: Sequence[st
 
 
 def salary_matrix(w: Warehouse) -> DataFrame:
-    return median_matrix(w.offers, "role_family", "seniority", LEVELS, "salary_mid",
-                         group_bound=ROLE_SENIORITY_BOUND)
+    return median_matrix(w.offers, "role_family", "seniority", LEVELS, "salary_mid")
 
 
 def skill_heatmap(skills_by_role: DataFrame, n: int = 12) -> DataFrame:

@@ -23,6 +23,7 @@ class RunSummary:
     n_offers: int
     n_offer_skills: int
     exports: dict[str, int]
+    n_out_of_scope: int = 0
 
 
 def run(spark: SparkSession, raw_dir: str, warehouse_dir: str, exports_dir: str | None = None,
@@ -33,11 +34,11 @@ def run(spark: SparkSession, raw_dir: str, warehouse_dir: str, exports_dir: str
     What needs the whole set (dataset choice, age limit, deduplication) then reads narrow columns of that table.
     """
     demo = F.coalesce(F.col("is_demo"), F.lit(False))
-    counted = Observation("landed")
+    counted, rejected = Observation("landed"), Observation("rejected")
     raw = read_landing(spark, raw_dir).observe(
         counted, F.count_if(~demo).alias("real"), F.count_if(demo).alias("demo"))
     staging = f"{warehouse_dir}/staging"
-    typed_offers(raw, settings, places).select(*staged_columns()).write.mode("overwrite").parquet(staging)
+    typed_offers(raw, settings, places, rejected).select(*staged_columns()).write.mode("overwrite").parquet(staging)
     real, fake = counted.get["real"], counted.get["demo"]
     if not real and not fake:
         raise ValueError(f"no raw records below {raw_dir}")
@@ -51,8 +52,11 @@ def run(spark: SparkSession, raw_dir: str, warehouse_dir: str, exports_dir: str
     staged = spark.read.parquet(staging)
     chosen = staged if mode == "all" else staged.where(F.col("is_demo") == (1 if mode == "demo" else 0))
     counts = warehouse.store(unique_offers(chosen, settings), warehouse_dir, settings)
-    warehouse.log_run(spark, warehouse_dir, label, n_raw, counts["offers"], counts["offer_skills"])
     tables = warehouse.load(spark, warehouse_dir)
+    broken = warehouse.constraints(tables).where("violations > 0").collect()  # one row per rule at most
+    if broken:
+        raise ValueError(f"the warehouse breaks its rules, nothing is published: {[tuple(r) for r in broken]}")
+    warehouse.log_run(spark, warehouse_dir, label, n_raw, counts["offers"], counts["offer_skills"])
     register(tables)
     exports = export_views(tables, exports_dir) if exports_dir else {}
-    return RunSummary(label, n_raw, counts["offers"], counts["offer_skills"], exports)
+    return RunSummary(label, n_raw, counts["offers"], counts["offer_skills"], exports, rejected.get["out_of_scope"])

@@ -15,10 +15,6 @@ from offerscope.operators.quantiles import QUARTILES_NEAREST, Quantile, quantile
 from offerscope.plans.warehouse import Warehouse
 from offerscope.vocab import labels as V
 
-# Closed vocabularies: roles x seniorities and sectors are bounded by the rule tables.
-ROLE_BOUND = len(V.ROLE_RULES) + 1
-ROLE_SENIORITY_BOUND = ROLE_BOUND * len(V.SENIORITY_ORDER)
-SECTOR_BOUND = len(V.SECTOR_RULES) + 1
 
 
 def remote_flag() -> Column:
@@ -57,7 +53,7 @@ def offres_competences(w: Warehouse) -> DataFrame:
 
 def kpi_globaux(w: Warehouse) -> DataFrame:
     o = w.offers
-    middle = quantiles(o, [], "salary_mid", [Quantile("m")], group_bound=1).select("m").scalar()
+    middle = quantiles(o, [], "salary_mid", [Quantile("m")]).select("m").scalar()
     known_city = F.when(F.col("city") != V.UNKNOWN, F.col("city"))
     demo, real = V.DATASET_LABELS["demo"], V.DATASET_LABELS["real"]
     out = o.agg(
@@ -80,7 +76,7 @@ def kpi_globaux(w: Warehouse) -> DataFrame:
 
 def salaires_metier_seniorite(w: Warehouse) -> DataFrame:
     keys = ["role_family", "seniority"]
-    ranks = quantiles(w.offers, keys, "salary_mid", QUARTILES_NEAREST, group_bound=ROLE_SENIORITY_BOUND)
+    ranks = quantiles(w.offers, keys, "salary_mid", QUARTILES_NEAREST)
     moments = w.offers.where(F.col("salary_mid").isNotNull()).groupBy(*keys).agg(
         F.avg("salary_mid").alias("mean"), F.min("salary_mid").alias("low"), F.max("salary_mid").alias("high"))
     n = F.col("n")
@@ -112,7 +108,7 @@ def villes(w: Warehouse, median_by_region: bool = False) -> DataFrame:
 
 def secteurs(w: Warehouse) -> DataFrame:
     total = w.offers.agg(F.count(F.lit(1)).alias("n")).scalar()
-    middle = quantiles(w.offers, ["sector"], "salary_mid", [Quantile("m")], group_bound=SECTOR_BOUND)
+    middle = quantiles(w.offers, ["sector"], "salary_mid", [Quantile("m")])
     sectors = w.offers.groupBy("sector").agg(
         F.count(F.lit(1)).alias("nb_offres"), share_of(remote_flag()).alias("pct_teletravail"),
         share_of(permanent_flag()).alias("pct_cdi"))

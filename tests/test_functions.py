@@ -32,6 +32,15 @@ def test_strip_accents_agrees_with_the_unicode_database(spark):
     assert differing(df, strip_accents(F.col("t")), F.col("want")) == []
 
 
+def test_strip_accents_holds_for_every_code_point(spark):
+    """Each assigned code point alone, and all of a plane's block in one text."""
+    codes = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    plain = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    texts = ["x".join(map(chr, codes[i:i + 64])) for i in range(0, len(codes), 64)]
+    df = spark.createDataFrame([(t, plain(t)) for t in texts], "t string, want string")
+    assert differing(df, strip_accents(F.col("t")), F.col("want")) == []
+
+
 def test_norm(spark):
     rows = [(None, ""), ("", ""), ("  L’Été \n à  Paris ", "l'ete a paris"), ("CHEF\tde PROJET", "chef de projet"),
             ("40 000 €", "40 000 €"), ("Résumé", "resume")]
@@ -234,7 +243,10 @@ def test_dates_are_utc_whatever_the_session(spark, zone):
     rows = [("2026-09-01", "2026-09-01"), ("2026-09-12T10:21:33.000Z", "2026-09-12"),
             ("2026-09-12T23:30:00-05:00", "2026-09-13"), ("2026-09-12T00:30:00+02:00", "2026-09-11"),
             ("2026-09-12 23:59:59", "2026-09-12"), ("20260912", "2026-09-12"), ("soon", None), (None, None),
-            ("", None), ("2026-13-45", None)]
+            ("", None), ("2026-13-45", None), ("20260912T233000-0500", "2026-09-13"), ("20260912T101010Z", "2026-09-12"),
+            ("2026-09-12T00:30:00+02", "2026-09-11"), ("25/09/2026", "2026-09-25"), ("05/09/2026", "2026-05-09"),
+            ("Sep 25, 2026", "2026-09-25"), ("September 5, 2026", "2026-09-05"), ("25 Sep 2026", "2026-09-25"),
+            ("Fri, 25 Sep 2026 10:00:00 GMT", "2026-09-25"), ("Fri, 25 Sep 2026 23:30:00 -0500", "2026-09-26")]
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from offerscope.operators.dedup import oldest_then_latest_arrival, two_pass
 from offerscope.operators.filters import dataset_label, select_dataset, within_age
-from offerscope.operators.groups import crosstab, fixed_bins, seeded_sample, top_n_per_group, with_grand_total
+from offerscope.operators.groups import crosstab, fixed_bins, rank_by, seeded_sample, top_n_per_group, with_grand_total
 from offerscope.operators.pairs import pair_lift
 from offerscope.operators.premium import with_and_without
 from offerscope.operators.quantiles import Quantile, quantiles, value_bucket
@@ -43,10 +43,9 @@ def measures(spark):
     return rows, spark.createDataFrame(rows, "g string, v double").repartition(5)
 
 
-@pytest.mark.parametrize("bound", [None, 10])
-def test_quantiles_match_brute_force(measures, bound):
+def test_quantiles_match_brute_force(measures):
     rows, df = measures
-    got = {r.g: r for r in quantiles(df, ["g"], "v", STATS, group_bound=bound).collect()}
+    got = {r.g: r for r in quantiles(df, ["g"], "v", STATS).collect()}
     groups = {g for g, v in rows if v is not None}
     assert set(got) == groups
     for g in groups:
@@ -56,9 +55,20 @@ def test_quantiles_match_brute_force(measures, bound):
         assert r.p10 == pytest.approx(want[4])
 
 
+def test_quantiles_take_infinite_values(spark):
+    df = spark.createDataFrame([(v,) for v in (float("-inf"), 3.0, float("inf"), float("inf"), float("nan"), None)], "v double")
+    r = quantiles(df, [], "v", [Quantile("low", "nearest", 0.0), Quantile("mid"), Quantile("high", "nearest", 1.0)]).first()
+    assert tuple(r) == (4, float("-inf"), float("inf"), float("inf"))
+
+
+def test_rank_by_gives_ties_one_rank(spark):
+    df = spark.createDataFrame([("a", 5, 1), ("a", 5, 2), ("a", 3, 3), ("b", 1, 4)], "g string, n long, id long")
+    assert {r.id: r["rank"] for r in rank_by(df, ["g"], "n").collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
+
+
 def test_quantiles_without_groups(measures):
     rows, df = measures
-    r = quantiles(df, [], "v", STATS, group_bound=1).first()
+    r = quantiles(df, [], "v", STATS).first()
     assert (r.n, r.med) == brute([v for _, v in rows if v is not None])[:2]
 
 
@@ -164,6 +174,6 @@ def test_small_reports(spark):
 def test_quantile_plan_never_gathers_a_group(spark, tmp_path):
     spark.range(1000).select((F.col("id") % 3).alias("g"), F.rand(1).alias("v")).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    plan = quantiles(df, ["g"], "v", STATS, group_bound=3)._jdf.queryExecution().executedPlan().toString()
+    plan = quantiles(df, ["g"], "v", STATS)._jdf.queryExecution().executedPlan().toString()
     assert "percentile" not in plan and "collect_list" not in plan and "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
