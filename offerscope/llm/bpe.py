@@ -7,9 +7,10 @@ never makes an earlier one possible. The rank map is a literal of the plan, laid
 the character of that number and a token the character 256 + id, so a merge is a replacement of two characters by one.
 
 The corpus is counted once to find its distinct words. The most frequent ones (`DICTIONARY` at most, a bounded table) are folded
-by Spark and handed to the tasks as a dictionary. Any other word is folded where it stands by the same steps in Python, and ids are
-decoded in Python: a look-up in a literal costs the higher-order functions microseconds, see the README for figures. Nothing is
-dropped and no text is shuffled.
+by Spark and handed to the tasks as a dictionary. Other words are folded where they stand, the rare words of 500 texts at once: in
+every round each word merges its lowest-ranked pair of neighbours, in array operations over all words. Ids are decoded in Python: a
+look-up in a literal costs the higher-order functions microseconds, see the README for figures. Nothing is dropped and no text is
+shuffled. The pattern must take a space and the letters after it as one word, as the usual ones do.
 
 Defined cases: a null or empty text has no ids (both digests are of nothing); repeated rows each get a row; a null id is carried;
 an empty table gives no rows; other columns are ignored.
@@ -23,6 +24,7 @@ import re
 import zlib
 from array import array
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -37,10 +39,10 @@ DICTIONARY = 1 << 17
 #: Distinct chunks a task counts before it tells their words, and chunks whose ids it keeps.
 COUNTED, CHUNKS = 200_000, 250_000
 SLOTS = 1 << 16
-#: Bytes of a word whose pairs are merged one by one, and the rank of a pair that is no token.
-SHORT, NONE = 64, 1 << 31
-#: White space on both sides of a space, or the end of the text: no cut there.
-NO_CUT = re.compile(r"(?:^|\s) (?:\s|$)")
+#: Bytes of a word that is folded together with others, words folded at once, and the rank of a pair that is no token.
+SHORT, TOGETHER, NONE = 64, 4096, (1 << 31) - 1
+#: A text without this is cut before every space; elsewhere white space may stand on both sides of a space.
+MAYBE_NO_CUT = re.compile(r" (?:\s|$)")
 
 
 @lru_cache(maxsize=2)
@@ -69,6 +71,11 @@ def _mark(rank: int) -> str:
     return chr(256 + rank if 256 + rank < 0xD800 else 256 + rank + 0x800)
 
 
+def _cell(pairs: np.ndarray, cells: int) -> np.ndarray:
+    """Cell of every pair by its hash; `cells` is a power of two."""
+    return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) & (cells - 1)
+
+
 @dataclass(frozen=True)
 class Merges:
     """The rank map of a vocabulary, and what each merge replaces by what."""
@@ -77,15 +84,12 @@ class Merges:
     pairs: list[str]
     marks: list[str]
     longest: int
+    keys: np.ndarray  # left * tokens + right in the cell of its hash or the next free one; a free cell holds -1
+    made: np.ndarray
 
     def fold(self, word: bytes) -> list[int]:
-        """Ids of one word in Python. Of a usual word the lowest-ranked pair of neighbours is merged until none is left, which
-        needs few look-ups; a very long one takes the steps of `Bpe.encode`, whose time does not grow with the square."""
-        if (whole := self.known.get(word)) is not None and (len(word) == 1 or self.pairs[whole]):
-            return [whole]
+        """Ids of one long word, by the steps of `Bpe.encode`; the time does not grow with the square of its length."""
         n = len(word)
-        if n <= SHORT:
-            return self._merged(word)
         stretches = (word[i:i + k] for i in range(n - 1) for k in range(2, min(self.longest, n - i) + 1))
         line = word.decode("latin-1")
         for rank in sorted(set(map(self.known.get, stretches)) - {None}):
@@ -93,19 +97,52 @@ class Merges:
                 line = line.replace(self.pairs[rank], self.marks[rank])
         return [self.known[bytes([c])] if c < 256 else c - 256 if c < 0xD800 else c - 0x900 for c in map(ord, line)]
 
-
-    def _merged(self, word: bytes) -> list[int]:
-        get, parts = self.known.get, [word[i:i + 1] for i in range(len(word))]
-        found = [get(word[i:i + 2], NONE) for i in range(len(word) - 1)]
-        while found and (least := min(found)) != NONE:
-            i = found.index(least)
-            parts[i] += parts.pop(i + 1)
-            del found[i]
-            if i < len(found):
-                found[i] = get(parts[i] + parts[i + 1], NONE)
-            if i:
-                found[i - 1] = get(parts[i - 1] + parts[i], NONE)
-        return [self.known[part] for part in parts]
+    def fold_all(self, words: list[bytes]) -> list[bytes]:
+        """Ids (packed 32-bit) of many words, none of them empty."""
+        out = [b""] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        long = next((k for k, i in enumerate(order) if len(words[i]) > SHORT), len(order))
+        for begin in range(0, long, TOGETHER):
+            part = order[begin:min(begin + TOGETHER, long)]
+            for i, ids in zip(part, self._together([words[i] for i in part])):
+                out[i] = ids
+        for i in order[long:]:
+            out[i] = array("i", self.fold(words[i])).tobytes()
+        return out
+
+    def _together(self, words: list[bytes]) -> list[bytes]:
+        """Rounds over a table with a column per word and a row per byte. A token stands in the row of its first byte; `after` and
+        `before` are the rows of its neighbours, row -1 is empty."""
+        size, width = len(words), max(map(len, words))
+        lengths, rows = np.fromiter(map(len, words), dtype=np.int32, count=size), np.arange(width + 1, dtype=np.int32)[:, None]
+        single = np.array([self.known[bytes([b])] for b in range(256)], dtype=np.int64)
+        tokens = np.full((width + 1, size), -1, dtype=np.int64)
+        tokens[:-1] = single[np.array(words, dtype=f"S{width}").view(np.uint8).reshape(size, width).T]
+        tokens[rows >= lengths] = -1
+        after, before = np.repeat(rows + 1, size, axis=1), np.repeat(rows - 1, size, axis=1)
+        joined = np.full((width + 1, size), NONE, dtype=np.int64)
+        joined[:-1] = self.together(tokens[:-1], tokens[1:])
+        while len(open_ := np.flatnonzero(joined.min(axis=0) != NONE)):
+            left = joined[:, open_].argmin(axis=0)
+            right = after[left, open_]
+            end, start = after[right, open_], before[left, open_]
+            tokens[left, open_], tokens[right, open_] = joined[left, open_], -1
+            joined[right, open_], after[left, open_], before[end, open_] = NONE, end, left
+            joined[left, open_] = self.together(tokens[left, open_], tokens[end, open_])
+            joined[start, open_] = self.together(tokens[start, open_], tokens[left, open_])
+        there = tokens.T >= 0
+        packed, ends = tokens.T[there].astype("<i4").tobytes(), (4 * there.sum(axis=1).cumsum()).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def together(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The token that two tokens make, or NONE. -1 is no token."""
+        wanted = np.where((left < 0) | (right < 0), -1, left * len(self.pairs) + right).ravel()
+        at = _cell(wanted, len(self.keys))
+        seen = self.keys[at]
+        while len(rest := np.flatnonzero((seen != wanted) & (seen >= 0))):
+            at[rest] = (at[rest] + 1) & (len(self.keys) - 1)
+            seen[rest] = self.keys[at[rest]]
+        return self.made[at].reshape(left.shape)
 
 
 @lru_cache(maxsize=2)
@@ -116,7 +153,14 @@ def merges(path: str) -> Merges:
     for token, rank in known.items():
         if len(token) > 1 and len(two := halves(token, known)) == 2:
             pairs[rank] = "".join(chr(x[0]) if len(x) == 1 else _mark(known[x]) for x in two)
-    return Merges(known, pairs, [_mark(i) for i in range(size)], max(map(len, known)))
+    cuts = ((known.get(token[:i]), known.get(token[i:]), rank) for token, rank in known.items() for i in range(1, len(token)))
+    made = {a * size + b: rank for a, b, rank in cuts if a is not None and b is not None}
+    keys, values = [-1] * (cells := 1 << (4 * len(made)).bit_length()), [NONE] * cells
+    for pair, at in zip(made, _cell(np.array(list(made), dtype=np.int64), cells).tolist()):
+        while keys[at] >= 0:
+            at = (at + 1) % cells
+        keys[at], values[at] = pair, made[pair]
+    return Merges(known, pairs, [_mark(i) for i in range(size)], max(map(len, known)), np.array(keys), np.array(values))
 
 
 class Bpe:
@@ -156,7 +200,7 @@ class Bpe:
 def chunks(text: str) -> list[str]:
     """Stretches that no word crosses: the text cut before single spaces. All but the first stand without their leading space."""
     parts = text.split(" ")
-    if not NO_CUT.search(text):
+    if not MAYBE_NO_CUT.search(text):
         return parts
     out = parts[:1]
     for part in parts[1:]:
@@ -168,6 +212,14 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+def _splitter(pattern: str) -> Callable[[str, str], list[str]]:
+    """Words of a chunk after its leading space, if any."""
+    import regex
+
+    find = regex.compile(pattern).findall
+    return lambda lead, chunk: [lead + chunk] if chunk.isascii() and chunk.isalpha() else find(lead + chunk)
+
+
 def _texts(batch: pa.RecordBatch, column: int) -> list[str]:
     return [(t or b"").decode("utf-8", "replace") for t in batch.column(column).to_pylist()]
 
@@ -178,15 +230,13 @@ def word_counts(df: DataFrame, pattern: str, text: str = "text") -> DataFrame:
     schema = arrow_schema(ddl)
 
     def run(batches):
-        import regex
-
-        find, later, first = regex.compile(pattern).findall, Counter(), Counter()
+        split, later, first = _splitter(pattern), Counter(), Counter()
 
         def told():
             words: dict[str, int] = {}
             for counts, lead in ((later, " "), (first, "")):
                 for chunk, n in counts.items():
-                    for word in find(lead + chunk):
+                    for word in split(lead, chunk):
                         words[word] = words.get(word, 0) + n
                 counts.clear()
             found = list(words.items())
@@ -231,33 +281,33 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text:
     schema = arrow_schema(ddl)
 
     def run(batches):
-        import regex
-
-        find, words, fold = regex.compile(pattern).findall, known.value, merges(path).fold
+        split, words, fold_all = _splitter(pattern), known.value, merges(path).fold_all
         kept, older = {}, {}  # two generations: what is still in use outlives the older one
 
-        def coded(chunk: str) -> bytes:
-            parts = []
-            for word in find(chunk):
-                raw = word.encode()
-                ids = words.get(raw)
-                parts.append(array("i", fold(raw)).tobytes() if ids is None else ids)
-            return b"".join(parts)
+        def coded(lead: str, parts: list[str]) -> list[bytes]:
+            """Ids of chunks; the rare words of all of them are folded at once."""
+            cut = [[word.encode() for word in split(lead, part)] for part in parts]
+            rare = list({word for line in cut for word in line if word not in words})
+            folded = dict(zip(rare, fold_all(rare)))
+            return [b"".join([words.get(word) or folded[word] for word in line]) for line in cut]
 
         for whole in batches:
             for begin in range(0, whole.num_rows, 500):
-                batch, ids = whole.slice(begin, 500), []
-                for t in _texts(batch, 1):
-                    first, *later = chunks(t)
-                    found = list(map(kept.get, later))
-                    if None in found:
-                        for k, (chunk, known_ids) in enumerate(zip(later, found)):
-                            if known_ids is None:
-                                if len(kept) >= CHUNKS // 2:
-                                    kept, older = {}, kept
-                                old = older.get(chunk)
-                                found[k] = kept[chunk] = coded(" " + chunk) if old is None else old
-                    ids.append(np.frombuffer(coded(first) + b"".join(found), dtype="<i4"))
+                batch = whole.slice(begin, 500)
+                cut = [chunks(t) for t in _texts(batch, 1)]
+                if len(kept) >= CHUNKS // 2:
+                    kept, older = {}, kept
+                new = []
+                for chunk in {chunk for _, *later in cut for chunk in later if chunk not in kept}:
+                    if (ids := older.get(chunk)) is None:
+                        new.append(chunk)
+                    else:
+                        kept[chunk] = ids
+                for at in range(0, len(new), CHUNKS // 8):
+                    part = new[at:at + CHUNKS // 8]
+                    kept.update(zip(part, coded(" ", part)))
+                firsts = coded("", [c[0] for c in cut])
+                ids = [np.frombuffer(b"".join([first, *map(kept.__getitem__, c[1:])]), dtype="<i4") for first, c in zip(firsts, cut)]
                 yield batch_of(schema, batch.column(0), pa.array(ids, type=pa.list_(pa.int32())))
 
     return df.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text)).mapInArrow(run, ddl)
