@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from offerscope.llm import bpe, knn, langmodel, packing, quality, sharding, simhash, substring, urlfilter, warc
+from offerscope.llm import bpe, knn, langmodel, neardup, packing, quality, sharding, simhash, substring, urlfilter, warc
 
 BPE, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 PASSAGE = " ".join(f"w{i}" for i in range(60))
@@ -230,3 +230,40 @@ def test_pipeline_stages_hold_columns_and_decide(spark):
     assert cut.columns == docs.columns and not cut.where(F.col("text").contains("w7 w8")).count()
     assert cut.where("doc_id < 3").join(docs, ["doc_id", "text"]).count() == 3
     assert stages["packing"](spark, cut, "").select("doc_id").distinct().count() == cut.count()
+
+
+def test_pipeline_near_duplicates_reach_similarity_of_five_words(spark):
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(12):
+        base = [f"v{i}" for i in rng.integers(0, 5000, 200)]
+        texts.append(base)
+        for changed in (1, 2, 4, 8, 16):
+            copy = list(base)
+            for at in rng.integers(0, 200, changed):
+                copy[at] = f"n{rng.integers(0, 10**6)}"
+            texts.append(copy)
+    texts += [["gleich"] * 3 + [f"k{i}"] for i in range(3)] + [texts[0]] * 2
+    sets = [set(zip(*(t[k:] for k in range(5)))) or {tuple(t)} for t in texts]
+    root = list(range(len(texts)))
+    for _ in root:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 5 * len(a & b) >= 4 * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(None, "ohne id"), (1000, None), (1001, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert got == {i for i, r in enumerate(root) if i == r} | {None, 1000}
+    assert 12 < len(got) < len(texts) - 12
+
+
+@pytest.mark.parametrize("stars", [0, 3])
+def test_crowded_buckets_are_decided_whole(spark, monkeypatch, stars):
+    """All share one bucket, few are similar: star rounds and the pairs left after them give the same components."""
+    monkeypatch.setattr(neardup, "STARS", stars)
+    monkeypatch.setattr(neardup, "bands", lambda grams: np.array([7], dtype=np.int64))
+    base = [" ".join(f"g{g}w{i}" for i in range(60)) for g in range(8)]
+    rows = [(10 * g + k, f"{t} end{k}") for g, t in enumerate(base) for k in range(3)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["component_id"] for r in found.collect()) == sorted(10 * g for g in range(8) for _ in range(3))
