@@ -267,3 +267,32 @@ def test_crowded_buckets_are_decided_whole(spark, monkeypatch, stars):
     rows = [(10 * g + k, f"{t} end{k}") for g, t in enumerate(base) for k in range(3)]
     found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r["component_id"] for r in found.collect()) == sorted(10 * g for g in range(8) for _ in range(3))
+
+
+def test_language_model_counts_every_word_and_bigram(spark, monkeypatch):
+    """Against brute force; words and bigrams that no trusted document holds count as well, whatever the buckets."""
+    monkeypatch.setattr(langmodel, "BUCKET_BYTES", 200)
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"{'ab' if i < 8 else 'xyz'}{k}" for k in rng.integers(0, 12, 30))) for i in range(40)]
+    rows += [(100, None), (101, ""), (None, "ab1 xyz2 nirgends"), (None, "ab1 xyz2 nirgends"), (30, rows[30][1])]
+    labels = [(i, int(i < 5), 0) for i in range(12)]
+    texts = [words_of(t) for _, t in rows]
+    vocabulary = len({w for t in texts for w in t})
+
+    def model(chosen):
+        single, pairs, context = Counter(), Counter(), Counter()
+        for t in chosen:
+            single.update(t)
+            pairs.update(zip([None, *t], t))
+            context.update([None, *t][:len(t)])
+        n = sum(single.values())
+        p = {w: (single[w] + 1) / (n + vocabulary) for t in texts for w in t}
+        return lambda t: sum(-np.log((pairs[v, w] + 20 * p[w]) / (context[v] + 20)) for v, w in zip([None, *t], t)) / max(1, len(t))
+
+    near, far = model([t for (i, _), t in zip(rows, texts) if i is not None and i < 5]), model(texts)
+    got = langmodel.score(spark.createDataFrame(rows, "doc_id long, text string"),
+                          spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    key = lambda r: (-1 if r[0] is None else r[0], r[1], r[2])
+    want = sorted(((i, len(t), near(t), far(t)) for (i, _), t in zip(rows, texts)), key=key)
+    assert [r[:2] for r in want] == [tuple(r)[:2] for r in sorted(got, key=key)]
+    assert np.allclose([r[2:] for r in want], [tuple(r)[2:4] for r in sorted(got, key=key)])
