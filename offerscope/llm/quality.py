@@ -2,8 +2,9 @@
 
 Both multinomials are over the same hashed buckets of words and word pairs. The raw counts cover every document; the target counts
 cover the trusted documents of a bounded sample of labelled rows (`LABELLED`). A document's score is the mean log ratio of its
-n-grams, so length does not matter. The threshold is a low quantile of the scores of trusted documents that the target counts
-have not seen (`TRUSTED_LOSS` of them may fall below); every document is compared with it, nothing is drawn at random.
+n-grams, so length does not matter. The threshold is where the kept shares of trusted and of low-quality documents differ most,
+among labelled documents that the target counts have not seen; without low-quality ones it lies `MADS` median absolute deviations
+below the trusted median. A quarter of the sample takes no part in either and is left to check the verdicts on.
 
 Bucket counts are summed per task before they are shuffled and are one small vector in the end; scoring is narrow.
 
@@ -29,8 +30,8 @@ from offerscope.llm.common import arrow_schema, batch_of, in_batches, text_bytes
 BUCKETS = 1 << 16
 #: Labelled rows used at most: those with the smallest hash of their id.
 LABELLED = 20_000
-#: Share of unseen trusted documents that may fall below the threshold, and how far below that quantile it is put.
-TRUSTED_LOSS, MARGIN = 0.001, 0.02
+#: Without low-quality labels: how many median absolute deviations below the trusted median the threshold lies, and how far at least.
+MADS, MARGIN = 6.0, 0.02
 #: Trusted documents are added to raw counts with this weight in the estimate of the target, per bucket.
 PRIOR = 8.0
 
@@ -97,12 +98,27 @@ class Model:
 
 
 def labelled_sample(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
-    """(doc_id, trusted, fitted) of the labelled rows used; half of the sample is kept for the threshold."""
+    """(doc_id, trusted, low, fitted, tuned) of the labelled rows used: half for the counts, a quarter for the threshold."""
     one = labels.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min(F.expr("coalesce(quality = 1 and coalesce(toxic, 0) = 0, false)")).alias("trusted"))
+        F.min(F.expr("coalesce(quality = 1 and coalesce(toxic, 0) = 0, false)")).alias("trusted"),
+        F.min(F.expr("coalesce(quality = 0, false)")).alias("low"))
     mixed = F.xxhash64(F.col("doc_id").cast("long"))
     return one.orderBy(mixed, "doc_id").limit(limit).select(
-        F.col("doc_id").cast("long").alias("__id"), "trusted", (F.pmod(mixed, F.lit(2)) == 0).alias("fitted"))
+        F.col("doc_id").cast("long").alias("__id"), "trusted", "low", (F.pmod(mixed, F.lit(2)) == 0).alias("fitted"),
+        (F.pmod(mixed, F.lit(4)) == 1).alias("tuned"))
+
+
+def threshold(trusted: np.ndarray, low: np.ndarray) -> float:
+    """The middle of the gap between scores that best divides both classes, each class weighing the same; the lower of equals."""
+    if not len(trusted):
+        return float("-inf")
+    if not len(low):
+        middle = np.median(trusted)
+        return float(middle - max(MARGIN, MADS * np.median(np.abs(trusted - middle))))
+    values = np.unique(np.concatenate([trusted, low]))
+    cuts = np.r_[values[0] - MARGIN, (values[1:] + values[:-1]) / 2]
+    lost = np.searchsorted(np.sort(trusted), cuts) / len(trusted)
+    return float(cuts[np.argmax(np.searchsorted(np.sort(low), cuts) / len(low) - lost)])
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -122,7 +138,7 @@ def _with_sample(df: DataFrame, sample: DataFrame, id_col: str, text: str, how:
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LABELLED,
         buckets: int = BUCKETS) -> Model:
     spark = df.sparkSession
-    sample = spark.createDataFrame(labelled_sample(labels, limit).collect(), "__id long, trusted boolean, fitted boolean")
+    sample = spark.createDataFrame(labelled_sample(labels, limit).collect(), "__id long, trusted boolean, low boolean, fitted boolean, tuned boolean")
     ddl = "bucket long, raw long, target long"
     schema = arrow_schema(ddl)
 
@@ -145,13 +161,12 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "t
     model = Model(log_ratios(target, raw), float("-inf"))
 
     def held_out(batch: pa.RecordBatch):
-        yield batch_of(arrow_schema("score double"), [model.score(_hashes(t.split())) for t in batch.column(0).to_pylist() if t])
+        known = [(model.score(_hashes(t.split())), good) for t, good in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t]
+        yield batch_of(arrow_schema("score double, trusted boolean"), *(zip(*known) if known else [()] * 2))
 
-    unseen = _with_sample(df, sample.where("trusted and not fitted"), id_col, text, "inner").select("__text")
-    scores = np.array([r["score"] for r in in_batches(unseen, held_out, "score double").collect()])
-    if len(scores):
-        model = Model(model.ratios, float(np.quantile(scores, TRUSTED_LOSS)) - MARGIN)
-    return model
+    unseen = _with_sample(df, sample.where("tuned and (trusted or low)"), id_col, text, "inner").select("__text", "trusted")
+    scores = in_batches(unseen, held_out, "score double, trusted boolean").collect()
+    return Model(model.ratios, threshold(*(np.array([r["score"] for r in scores if r["trusted"] == good]) for good in (True, False))))
 
 
 def judge(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:

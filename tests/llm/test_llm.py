@@ -296,3 +296,19 @@ def test_language_model_counts_every_word_and_bigram(spark, monkeypatch):
     want = sorted(((i, len(t), near(t), far(t)) for (i, _), t in zip(rows, texts)), key=key)
     assert [r[:2] for r in want] == [tuple(r)[:2] for r in sorted(got, key=key)]
     assert np.allclose([r[2:] for r in want], [tuple(r)[2:4] for r in sorted(got, key=key)])
+
+
+def test_quality_threshold_divides_both_classes(spark):
+    """Two odd trusted documents do not set it; checked on the rows that neither counts nor threshold have seen."""
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"{'g' if i % 3 else 'b'}{k}" if rng.random() < 0.7 else f"c{k}" for k in rng.integers(0, 300, 80))) for i in range(600)]
+    rows += [(i, " ".join(f"b{k}" for k in rng.integers(0, 300, 80))) for i in range(600, 620)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0 or i >= 600), 0) for i in range(620)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sample = {r["__id"]: r for r in quality.labelled_sample(labels).collect()}
+    unseen = [r for r in quality.quality(docs, labels).collect()
+              if r["doc_id"] < 600 and not sample[r["doc_id"]]["fitted"] and not sample[r["doc_id"]]["tuned"]]
+    kept = {low: np.mean([r["kept"] for r in unseen if sample[r["doc_id"]]["low"] == low]) for low in (False, True)}
+    assert kept[False] > 0.95 and kept[True] < 0.05
+    assert quality.threshold(np.array([]), np.array([1.0])) == float("-inf")
+    assert quality.threshold(np.array([0.1, 0.2, 0.3, -9.0]), np.array([])) > -1
