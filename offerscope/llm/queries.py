@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerscope.llm import bpe, knn, langmodel, packing, quality, sharding, simhash, substring, urlfilter, warc
+from offerscope.llm import bpe, hyperminhash, knn, langmodel, packing, quality, sharding, simhash, substring, urlfilter, warc
 from offerscope.llm.common import table
 from offerscope.session import shared_dir
 
@@ -131,3 +131,9 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
 @query
 def op9_cross_entropy_difference(spark, sf_dir):
     return langmodel.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_hyperminhash_neardup(spark, sf_dir):
+    found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
