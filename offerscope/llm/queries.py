@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerscope.llm import bpe, hyperminhash, knn, langmodel, packing, quality, sharding, simhash, substring, urlfilter, warc
+from offerscope.llm import alignment, bpe, hyperminhash, interaction, knn, langmodel, packing, quality, sharding, simhash, substring, urlfilter, warc
 from offerscope.llm.common import table
 from offerscope.session import shared_dir
 
@@ -137,3 +137,46 @@ def op9_cross_entropy_difference(spark, sf_dir):
 def op13_hyperminhash_neardup(spark, sf_dir):
     found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+@query
+def op11_interaction_audit(spark, sf_dir):
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op11_interaction_audit"] = r"""
+WITH split AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+failed AS (SELECT doc_id, part, concat(
+    CASE WHEN len(words) < 200 THEN 'A' ELSE '' END,
+    CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS mask FROM split),
+flags AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id),
+cells AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+    FROM failed LEFT JOIN flags USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, CAST(step AS INT) AS step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS before
+    FROM orders, range(1, 6) AS r(step)),
+walked AS (SELECT part, mask, n, good, toxic, filter_order, step, letter, contains(mask, letter) AS fails,
+    length(translate(before, mask, '')) < length(before) AS gone FROM cells, steps),
+placed AS (SELECT part, filter_order, step, letter,
+    CAST(sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN mask = letter THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+    FROM walked GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM placed"""
+
+
+@query
+def op12_tokenizer_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+                           public_tokenizers.path("piece_bpe_32k.model"))
