@@ -106,18 +106,17 @@ def whole_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("dedup_two_pass", """
-WITH d AS (SELECT doc_id, source, lang, MD5(TRIM(REGEXP_REPLACE(LOWER(STRIP_ACCENTS(text)), '\\s+', ' ', 'g'))) AS key,
+WITH d AS (SELECT *, MD5(TRIM(REGEXP_REPLACE(LOWER(STRIP_ACCENTS(text)), '\\s+', ' ', 'g'))) AS key,
                   CASE WHEN n_chars % 7 = 0 THEN NULL ELSE CAST(n_chars % 365 AS INTEGER) END AS day FROM documents),
 first AS (SELECT * FROM d QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, source, day ORDER BY day NULLS LAST, doc_id DESC) = 1),
 second AS (SELECT * FROM first QUALIFY ROW_NUMBER() OVER (PARTITION BY key ORDER BY day NULLS LAST, doc_id DESC) = 1)
-SELECT doc_id, lang, source FROM second""")
+SELECT doc_id, text, lang, source, n_chars FROM second""")
 def dedup_two_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two keys in sequence: the winner of (lang, source, day), then of the normalised text."""
+    """Two keys in sequence over whole documents: the winner of (lang, source, day), then of the normalised text."""
     days = F.when(F.col("n_chars") % 7 != 0, F.date_from_unix_date((F.col("n_chars") % 365).cast("int")))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", F.md5(norm(F.col("text"))).alias("key"), days.alias("day"))
-    best = two_pass(docs, ["lang", "source", "day"], ["key"], oldest_then_latest_arrival("day", ["doc_id"]))
-    return best.select("doc_id", "lang", "source")
+    docs = table(spark, sf_dir, "documents").withColumns({"key": F.md5(norm(F.col("text"))), "day": days})
+    best = two_pass(docs, ["lang", "source", "day"], ["key"], oldest_then_latest_arrival("day", ["doc_id"]), ["doc_id"])
+    return best.drop("key", "day")
 
 
 @query("dedup_documents", """

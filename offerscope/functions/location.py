@@ -9,7 +9,7 @@ from offerscope.sources.places import DEFAULT_PLACES, Places, admin_key, city_ke
 from offerscope.vocab.labels import UNKNOWN
 from offerscope.vocab import places as V
 
-_HELPERS = ("_text", "_dept0", "_parts", "_keys", "_admins", "_cities_hit", "_head_admin", "_head_city", "_admin_key",
+_HELPERS = ("_text", "_dept0", "_parts", "_keys", "_admins", "_both", "_head_admin", "_admin_key",
             "admin_code", "admin_region", "_area", "_place", "_city_key", "_dept", "ref_city", "ref_dept",
             "ref_region", "ref_lat", "ref_lon", "dept_region")
 
@@ -18,7 +18,9 @@ def with_location(df: DataFrame, raw: str = "location_raw", latitude: str = "lat
                   longitude: str = "longitude", places: Places = DEFAULT_PLACES) -> DataFrame:
     """Adds ``city, department_code, region`` and replaces the coordinate columns.
 
-    All steps are narrow: list functions over the comma-separated parts, then three broadcast lookups.
+    List functions over the comma-separated parts, then lookups by join: the fixed administrative names, and the city reference
+    of whatever size. Whether a part is a city matters before that only where it is an administrative name too; such names
+    are few and are looked up once.
     """
     spark = df.sparkSession
     source = F.col(raw)
@@ -31,14 +33,14 @@ def with_location(df: DataFrame, raw: str = "location_raw", latitude: str = "lat
         F.when(~nowhere, blank_to_null(F.regexp_extract(text, prefix, 1))).alias("_dept0"),
     )
 
-    # Parts of the place with their administrative key and whether they name a known city.
+    # Parts of the place with their administrative key, and the parts that name an area and a city.
     df = df.withColumn("_parts", F.filter(F.transform(F.split("_text", ","), strip), lambda p: p != ""))
     df = df.withColumn("_keys", F.transform("_parts", place_key))
     df = df.withColumns({
         "_admins": F.transform("_keys", lambda k: F.when(admin_key(k).isin(places.admin_keys), admin_key(k))),
-        "_cities_hit": F.transform("_keys", lambda k: city_key(k).isin(places.city_keys)),
+        "_both": F.array_intersect("_keys", places.cities_named_like_areas(spark)),
     })
-    df = df.withColumns({"_head_admin": F.get("_admins", F.lit(0)), "_head_city": F.get("_cities_hit", F.lit(0))})
+    df = df.withColumn("_head_admin", F.get("_admins", F.lit(0)))
 
     # The first administrative name after the head (or the only part); else a region at the head.
     tail = F.when(F.size("_admins") > 1, F.slice("_admins", 2, F.size("_admins") - 1)).otherwise(F.col("_admins"))
@@ -49,13 +51,12 @@ def with_location(df: DataFrame, raw: str = "location_raw", latitude: str = "lat
 
     # A department prefix wins over the code of the name found.
     df = df.withColumn("_dept", F.coalesce("_dept0", "admin_code"))
-    df = df.withColumn("_area", F.col("admin_region").isNotNull() & ~F.col("_head_city")
-                       & F.col("_head_admin").isNotNull())
+    df = df.withColumn("_area", F.col("admin_region").isNotNull() & F.col("_head_admin").isNotNull()
+                       & ~F.array_contains("_both", F.get("_keys", F.lit(0))))
 
     # "1er Arrondissement, Lyon": the city is the next part that is a city or no administrative name.
-    numbered = F.arrays_zip(F.col("_parts").alias("part"), F.col("_admins").alias("admin"),
-                            F.col("_cities_hit").alias("city"))
-    later = F.filter(numbered, lambda z, i: (i > 0) & (z["city"] | z["admin"].isNull()))
+    numbered = F.arrays_zip(F.col("_parts").alias("part"), F.col("_admins").alias("admin"), F.col("_keys").alias("key"))
+    later = F.filter(numbered, lambda z, i: (i > 0) & (z["admin"].isNull() | F.array_contains(F.col("_both"), z["key"])))
     head = F.coalesce(F.get("_parts", F.lit(0)), F.lit(""))
     is_district = F.when(~head.rlike("^[A-Za-z]"), norm(head).rlike(rx(V.DISTRICT_HEAD)))
     place = F.when(is_district, F.coalesce(F.get(later, F.lit(0))["part"], head)).otherwise(head)

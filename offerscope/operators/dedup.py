@@ -26,9 +26,12 @@ def oldest_then_latest_arrival(date: str, arrival: Sequence[str]) -> Column:
         *[F.col(a) for a in arrival])
 
 
-def two_pass(df: DataFrame, first: Sequence[str], second: Sequence[str], preference: Column) -> DataFrame:
-    """Keep one row per ``first`` key, then one per ``second`` key.
+def two_pass(df: DataFrame, first: Sequence[str], second: Sequence[str], preference: Column, row: Sequence[str]) -> DataFrame:
+    """Keep one row per ``first`` key, then one per ``second`` key; ``row`` names columns that tell the rows apart.
 
-    The passes stay separate: a row dropped by the first must not win the second.
+    The passes stay separate: a row dropped by the first must not win the second. Both work on keys, preference and ``row``
+    alone; the other columns, texts among them, are fetched at the end for the rows that stay, and move once at most.
     """
-    return keep_best(keep_best(df, first, preference), second, preference)
+    narrow = df.select(*dict.fromkeys([*first, *second, *row]), preference.alias("_preference"))
+    best = keep_best(keep_best(narrow, first, F.col("_preference")), second, F.col("_preference"))
+    return df.join(best.select(*row), list(row), "left_semi")

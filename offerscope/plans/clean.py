@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -93,10 +94,40 @@ def unique_offers(typed: DataFrame, settings: Settings = Settings(), arrival: Se
     columns = schemas.CLEAN.fieldNames()
     narrow = recent.select(*columns, "_content_key", *[a for a in arrival if a not in columns])
     best = two_pass(narrow, ["offer_id"], ["_content_key"],
-                    oldest_then_latest_arrival("published_date", arrival))
+                    oldest_then_latest_arrival("published_date", arrival), arrival)
     return best.select(*[F.col(f.name).cast(f.dataType) for f in schemas.CLEAN.fields])
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Typed rows as Parquet, and what was counted while they were written."""
+
+    rows: DataFrame
+    real: int
+    demo: int
+    out_of_scope: int
+
+    def chosen(self, mode: str) -> DataFrame:
+        """The rows of a dataset mode; raw records outside the market count for the choice of ``auto``."""
+        if mode == "auto":
+            mode = "real" if self.real else "demo"
+        if mode not in ("real", "demo", "all"):
+            raise ValueError(f"unknown mode {mode!r}")
+        return self.rows if mode == "all" else self.rows.where(F.col("is_demo") == (1 if mode == "demo" else 0))
+
+
+def stage_offers(raw: DataFrame, path: str, settings: Settings = Settings(), places: Places = DEFAULT_PLACES,
+                 arrival: Sequence[str] = ARRIVAL) -> Staged:
+    """Reads the raw text once. What needs the whole set reads narrow columns of the staged rows afterwards."""
+    demo = F.coalesce(F.col("is_demo"), F.lit(False))
+    counted, rejected = Observation("landed"), Observation("rejected")
+    raw = raw.observe(counted, F.count_if(~demo).alias("real"), F.count_if(demo).alias("demo"))
+    typed = typed_offers(raw, settings, places, rejected).select(*staged_columns(arrival))
+    typed.write.parquet(path)
+    return Staged(raw.sparkSession.read.schema(typed.schema).parquet(path), counted.get["real"], counted.get["demo"],
+                  rejected.get["out_of_scope"])
+
+
 def clean_offers(raw: DataFrame, settings: Settings = Settings(), places: Places = DEFAULT_PLACES,
                  arrival: Sequence[str] = ARRIVAL, rejected: Observation | None = None) -> DataFrame:
     """Raw records -> clean table. ``arrival`` orders the records as they came in (ascending)."""

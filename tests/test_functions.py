@@ -1,6 +1,10 @@
 """Case tables, one DataFrame per function; each test counts the rows that differ."""
 
+import csv
+import re
 import unicodedata
+from decimal import Decimal
+from io import StringIO
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +14,12 @@ from offerscope.functions.keys import content_key, month_of, utc_date
 from offerscope.functions.location import with_location
 from offerscope.functions.salary import with_salary
 from offerscope.functions.text import collapse, fold, norm, round_half_up, strip_accents, title_case
+from offerscope.sources.places import DEFAULT_PLACES, Places
+from offerscope.vocab import labels as L
+from offerscope.vocab import places as V
 from offerscope.vocab.labels import UNKNOWN
+from offerscope.vocab.salary import PERIOD_FLOORS, PERIOD_RULES
+from tests.samples import samples
 
 
 def differing(df, got, want):
@@ -63,31 +72,50 @@ def test_rounding_is_decimal(spark):
         assert spark.range(1).select(round_half_up(F.lit(value), digits)).first()[0] == want
 
 
-def test_salary_from_text(spark):
-    rows = [
-        ("Annuel de 31500.0 Euros à 36250.0 Euros sur 13.0 mois", 31500, 36250, None),
-        ("62K€ - 71K€", 62000, 71000, None),
-        ("De 33 000 à 39 500 € brut/an", 33000, 39500, None),
-        ("Mensuel de 2750 Euros sur 12 mois", 33000, 33000, None),
-        ("Package : 58-64k€ à débattre", 58000, 64000, None),
-        ("2 900 € brut mensuel", 34800, 34800, None),
-        ("Horaire de 21.00 Euros sur 12 mois", 21 * 1607, 21 * 1607, None),
-        ("52k", 52000, 52000, None),
-        ("610 € par jour", None, None, 610),
-        ("37.500 - 44.000 euros", 37500, 44000, None),
-        ("Mensuel de 2210,50 Euros, 39h par semaine", 2210.5 * 12, 2210.5 * 12, None),
-        ("240 euros", None, None, 240),
-        ("14 euros", 14 * 1607, 14 * 1607, None),
-        ("3100 euros", 37200, 37200, None),
-        ("TJM 520-580", None, None, 550),
-        ("46,5 k€", 46500, 46500, None),
-        (None, None, None, None), ("", None, None, None), ("Grille interne", None, None, None),
-    ]
-    df = salaries(spark, [(t, None, None, None, *[None if v is None else float(v) for v in w]) for t, *w in rows])
-    for column, want in (("salary_min", "lo"), ("salary_max", "hi"), ("daily_rate", "day")):
-        bad = df.where(~(F.coalesce(F.abs(F.col(column) - F.col(want)) < 1e-6,
-                                    F.col(column).isNull() & F.col(want).isNull())))
-        assert bad.select("salary_raw", column, want).collect() == []
+def amounts(spark, texts):
+    """(text, least, most, per day) as read."""
+    rows = salaries(spark, [(t, *[None] * 6) for t in texts]).select("salary_raw", "salary_min", "salary_max", "daily_rate").collect()
+    return {r[0]: tuple(r)[1:] for r in rows}
+
+
+def test_every_period_cue_sets_its_period(spark):
+    """300 with each wording a period rule knows; a day rate stays apart, the others are taken to a year."""
+    factor = {"hour": 1607, "month": 12, "year": 1}
+    cases = {}
+    for period, pattern in PERIOD_RULES:
+        for cue in samples(pattern):
+            text = f"300 {cue}" if not cue[0].isdigit() else f"300{cue[1:]}"
+            first = next(p for p, rule in PERIOD_RULES if re.search(rule, text))
+            assert first == period or re.search(dict(PERIOD_RULES)[first], text)
+            thousand = first == "year" or re.search(r"\d ?k\b", text)
+            value = 300.0 * (1000 if thousand else 1)
+            cases[text] = (None, None, value) if first == "day" else (value * factor[first],) * 2 + (None,)
+    got = amounts(spark, cases)
+    assert len(cases) > 25 and {t: got[t] for t in cases} == cases
+
+
+def test_amounts_without_a_period_go_by_their_size(spark):
+    """Around each floor of the table: the amount itself, and one less."""
+    scale = {"year": 1.0, "month": 12.0, "hour": 1607.0}
+    floors = [*PERIOD_FLOORS, ("hour", 0.0)]
+    cases = {}
+    for i, (period, floor) in enumerate(PERIOD_FLOORS):
+        for value, kind in ((floor, period), (floor - 1, floors[i + 1][0])):
+            cases[f"{int(value)} euros"] = (None, None, value) if kind == "day" else (value * scale[kind],) * 2 + (None,)
+    got = amounts(spark, cases)
+    assert {t: got[t] for t in cases} == cases
+
+
+def test_forms_of_numbers(spark):
+    """The same two yearly amounts with every separator, as thousands, and beside numbers that are none."""
+    forms = ["{0} - {1} annuel", "{0} a {1} par an", "annuel {0}/{1}", "annuel {0} {2} {1}"]
+    number = [lambda v: str(v), lambda v: f"{v // 1000} {v % 1000:03}", lambda v: f"{v // 1000}.{v % 1000:03}", lambda v: f"{v},00",
+              lambda v: f"{v / 1000:g}k", lambda v: f"{v / 1000:g} K".replace(".", ",")]
+    other = ["sur 13 mois", "39h par semaine", "37,5 heures/semaine"]
+    cases = [f.format(n(41500), n(48200), o) for f in forms for n in number for o in other]
+    got = amounts(spark, cases)
+    assert {t: v for t, v in got.items() if v != (41500.0, 48200.0, None)} == {}
+    assert set(amounts(spark, ["", "selon convention"]).values()) == {(None, None, None)}
 
 
 def test_salary_from_fields(spark):
@@ -106,101 +134,131 @@ def test_salary_from_fields(spark):
         assert differing(df, F.col(column), F.col(want)) == []
 
 
-LOCATIONS = [
-    ("31 - TOULOUSE 02", "Toulouse", "Occitanie", "31"), ("Marseille 6e Arrondissement", "Marseille", "Provence-Alpes-Côte d'Azur", "13"),
-    ("Rennes, Bretagne", "Rennes", "Bretagne", "35"), ("Bordeaux, Gironde", "Bordeaux", "Nouvelle-Aquitaine", "33"),
-    ("Bretagne", UNKNOWN, "Bretagne", None), ("Gironde", UNKNOWN, "Nouvelle-Aquitaine", "33"),
-    ("Hameau Perdu, Finistère", "Hameau Perdu", "Bretagne", "29"),
-    ("3e Arrondissement, Marseille", "Marseille", "Provence-Alpes-Côte d'Azur", "13"),
-    ("Toulouse, France", "Toulouse", "Occitanie", "31"), ("Bretagne, France", UNKNOWN, "Bretagne", None),
-    ("FRANCE", UNKNOWN, UNKNOWN, None), (None, UNKNOWN, UNKNOWN, None), ("", UNKNOWN, UNKNOWN, None), ("   ", UNKNOWN, UNKNOWN, None),
-    ("BORDEAUX CEDEX 09", "Bordeaux", "Nouvelle-Aquitaine", "33"), ("2B - Bastia", "Bastia", "Corse", "2B"),
-    ("Genève", "Genève", UNKNOWN, None), ("Strasbourg, Grand Est", "Strasbourg", "Grand Est", "67"),
-]
+def test_every_city_of_the_reference_in_every_spelling(spark):
+    """City, department, region and coordinates come from the reference, whatever is written around the name."""
+    cities = list(csv.reader(StringIO(V.CITY_CSV)))
+    rows = []
+    for city, dept, region, lat, _ in cities:
+        folded = unicodedata.normalize("NFKD", city).encode("ascii", "ignore").decode().upper()
+        for text in (city, folded, f"{dept} - {folded}", f"{city}, {region}", f"{city}, {region}, France", f"  {city.lower()} ,, {region}",
+                     f"{folded} CEDEX 3", f"{city} ({dept})", f"{city} 4e Arrondissement", f"2e Arrondissement, {city}", f"{dept} - {folded} 07"):
+            rows.append((text, city, dept, region, float(lat)))
+    df = spark.createDataFrame([(*r, -1.0, -1.0) for r in rows], "location_raw string, want_city string, want_dept string,"
+                               " want_region string, want_lat double, latitude double, longitude double")
+    out = with_location(df)
+    assert out.count() == len(rows) == 11 * 57
+    for column, want in (("city", "want_city"), ("region", "want_region"), ("department_code", "want_dept"), ("latitude", "want_lat")):
+        assert differing(out, F.col(column), F.col(want)) == []
 
 
-def test_location(spark):
-    rows = [(*r, 1.5, 2.5) for r in LOCATIONS]
-    df = spark.createDataFrame(rows, "location_raw string, want_city string, want_region string, want_dept string,"
-                                     " latitude double, longitude double")
+def test_areas_and_unknown_places(spark):
+    """Names of areas are no cities unless a city bears them; a place nobody knows keeps its name and its area's region."""
+    known = {c[0] for c in DEFAULT_PLACES.cities}
+    rows = [(t, UNKNOWN, UNKNOWN, None) for t in (None, "", "  ", *V.NOT_A_PLACE)]
+    for key, code, region in DEFAULT_PLACES.admin_rows():
+        if key.replace("saint ", "st ") not in known:
+            rows.append((key.upper(), UNKNOWN, region, code))
+        rows.append((f"bourg-neuf, {key}", "Bourg-Neuf", region, code))
+    df = spark.createDataFrame([(*r, 1.0, 1.0) for r in rows], "location_raw string, want_city string, want_region string,"
+                               " want_dept string, latitude double, longitude double")
     out = with_location(df)
-    assert out.count() == len(rows)
     for column, want in (("city", "want_city"), ("region", "want_region"), ("department_code", "want_dept")):
         assert differing(out, F.col(column), F.col(want)) == []
 
 
-def test_location_coordinates(spark):
-    rows = [("Hameau Perdu, Finistère", 1.5), ("Occitanie", 1.5), ("FRANCE", None), (None, None)]
-    df = spark.createDataFrame([(r, w, 1.5, 2.5) for r, w in rows],
-                               "location_raw string, want double, latitude double, longitude double")
-    assert differing(with_location(df), F.col("latitude"), F.col("want")) == []
-
-
-def test_seniority(spark):
-    rows = [
-        ("Stage de fin d'études en data", None, None, None, "Stage / Alternance"),
-        ("BI Developer", None, "Alternance", None, "Stage / Alternance"),
-        ("Ingénieur data senior", None, None, None, "Senior"), ("Lead BI", 1.0, None, None, "Senior"),
-        ("Développeur BI junior", None, None, None, "Junior"), ("BI Developer", 1.0, None, None, "Junior"),
-        ("BI Developer", 3.5, None, None, "Confirmé"), ("BI Developer", 11.0, None, None, "Senior"),
-        ("BI Developer", None, None, None, UNKNOWN), ("BI Developer", None, None, "justifier de 4 ans d'expérience", "Confirmé"),
-        ("BI Developer", 1.0, None, "12 ans d'expérience", "Junior"), ("Statisticien confirmé", 1.0, "CDI", None, "Confirmé"),
-    ]
-    df = spark.createDataFrame(rows, "title string, years double, contract string, body string, want string")
-    got = labels.seniority(norm(F.col("title")), F.col("contract"), F.col("years"),
-                           labels.experience_years(norm(F.col("body"))))
-    assert differing(df, got, F.col("want")) == []
-
-
-def test_experience(spark):
-    rows = [("2 An(s)", 2.0), ("3 ans d'expérience minimum", 3.0), ("Débutant accepté", 0.0), ("18 mois", 1.5),
-            (None, None), ("2,5 ans", 2.5), ("5 years", 5.0), ("3 mois", 0.2), ("9 mois", 0.8), ("rien", None)]
-    df = spark.createDataFrame(rows, "t string, want double")
-    assert differing(df, labels.experience_years(norm(F.col("t"))), F.col("want")) == []
-
-
-def test_role(spark):
-    rows = [
-        ("Junior Data Analyst (Lille)", "Data Analyst"), ("Senior Data Scientist - Pricing", "Data Scientist"),
-        ("Data Engineer Spark / Kafka", "Data Engineer"), ("Lead Machine Learning Engineer", "Machine Learning Engineer"),
-        ("MLOps confirmé", "Machine Learning Engineer"),
-        ("Senior Analytics Engineer", "Analytics Engineer / BI"), ("Data Steward groupe", "Data Manager / Gouvernance"),
-        ("Boulanger", "Autre métier data"),
-    ]
+def test_a_reference_of_200000_cities(spark):
+    """A table of any size: the last row of a name counts, a department takes the region of its first row."""
+    numbers = spark.range(0, 200_000, 1, 4).withColumn("name", F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))
+    table = numbers.select(
+        F.concat(F.lit("Saint Lieu "), "name").alias("city"), F.concat(F.lit("D"), F.col("id") % 500).alias("dept_code"),
+        F.concat(F.lit("Zone "), F.col("id") % 7).alias("region"), (F.col("id") / 1000).alias("latitude"),
+        (F.col("id") / 500).alias("longitude"), F.col("id").alias("nth"))
+    again = spark.createDataFrame([("SAINT-LIEU HH", "D1", "Neue Zone", 0.5, 0.25, 900_000)], table.schema)
+    places = Places((), table.union(again))
+    rows = numbers.where("id % 100 = 77").select(
+        F.concat(F.lit("saint-lieu "), "name", F.lit(" cedex")).alias("location_raw"), "id", "name", F.lit(0.0).alias("latitude"), F.lit(0.0).alias("longitude"))
+    out = with_location(rows, places=places)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Saint Lieu f" not in plan and len(plan) < 400_000
+    bad = out.where("not (city = concat('Saint Lieu ', name) and region = concat('Zone ', id % 7) and latitude = id / 1000)").collect()
+    assert [r["city"] for r in bad] == ["SAINT-LIEU HH"] and bad[0]["region"] == "Neue Zone" and out.count() == 2000
+
+
+def first_match(rules, text, other):
+    return next((label for label, pattern in rules if re.search(pattern, text)), other)
+
+
+def written(rules):
+    """Each alternative of each rule alone and inside a sentence, and each pair of rules in both orders."""
+    one = {label: samples(pattern) for label, pattern in rules}
+    texts = [t for some in one.values() for s in some for t in (s, f"avant {s} apres", s.upper())]
+    firsts = [some[0] for some in one.values()]
+    return list(dict.fromkeys([*texts, *(f"{a} ; {b}" for a in firsts for b in firsts if a != b), "rien de tel", ""]))
+
+
+@pytest.mark.parametrize(("rules", "label", "other"), [
+    (L.ROLE_RULES, labels.role_family, L.OTHER_ROLE), (L.REMOTE_RULES, labels.remote_policy, UNKNOWN),
+    (L.SECTOR_RULES, lambda text: labels.sector(text, F.lit("")), L.OTHER_SECTOR)], ids=["role", "remote", "sector"])
+def test_ordered_rules(spark, rules, label, other):
+    rows = [(t, first_match(rules, t.lower(), other)) for t in written(rules)]
+    assert {want for _, want in rows} == {*(name for name, _ in rules), other}
     df = spark.createDataFrame(rows, "t string, want string")
-    assert differing(df, labels.role_family(norm(F.col("t"))), F.col("want")) == []
+    assert differing(df, label(norm(F.col("t"))), F.col("want")) == []
 
 
-def test_remote(spark):
-    rows = [("Deux jours de télétravail", "Hybride"), ("Organisation hybride de l'équipe", "Hybride"),
-            ("Full remote depuis l'Europe", "Full remote"), ("Emploi en 100% télétravail", "Full remote"),
-            ("Ici, pas de télétravail", "Sur site"), ("Locaux lumineux", UNKNOWN), ("", UNKNOWN)]
-    df = spark.createDataFrame(rows, "t string, want string")
-    assert differing(df, labels.remote_policy(norm(F.col("t"))), F.col("want")) == []
+def test_the_company_speaks_where_the_sector_says_nothing(spark):
+    firsts = {name: samples(pattern)[0] for name, pattern in L.SECTOR_RULES}
+    rows = [(a, b, first_match(L.SECTOR_RULES, a, "")) for a in firsts.values() for b in firsts.values()]
+    rows += [(a, b, first_match(L.SECTOR_RULES, b, "")) for a in ("", None, "xyz") for b in firsts.values()]
+    df = spark.createDataFrame([*rows, (None, None, L.OTHER_SECTOR)], "raw string, company string, want string")
+    assert differing(df, labels.sector(norm(F.col("raw")), norm(F.col("company"))), F.col("want")) == []
+
 
+def test_contracts_from_text_and_title(spark):
+    def want(raw, title):
+        return next((name for name, text, head in L.CONTRACT_RULES
+                     if re.search(text, raw or "") or head and re.search(head, title)), UNKNOWN)
 
-def test_contract(spark):
-    rows = [("CDI", "Statisticien", "CDI"), ("CDD 6 mois", "Statisticien", "CDD"), ("CDD", "Alternance data", "Alternance"),
-            ("permanent", "BI Developer", "CDI"), ("Freelance long terme", "BI Developer", "Freelance"),
-            (None, "Stagiaire statistique", "Stage"), (None, "BI Developer", UNKNOWN)]
+    texts = [s for _, text, _ in L.CONTRACT_RULES for s in samples(text)] + [None, "autre"]
+    titles = [s for _, _, head in L.CONTRACT_RULES if head for s in samples(head)[:3]] + ["metier"]
+    rows = [(a, b, want(a, b)) for a in texts for b in titles]
     df = spark.createDataFrame(rows, "raw string, title string, want string")
     assert differing(df, labels.contract_type(norm(F.col("raw")), norm(F.col("title"))), F.col("want")) == []
 
 
-def test_sector(spark):
-    rows = [("Conseil en systèmes et logiciels informatiques", None, "Conseil / ESN"),
-            ("Production et distribution d'électricité", None, "Énergie / Utilities"),
-            ("Industrie pharmaceutique", None, "Santé / Pharma"),
-            ("Activités des banques", None, "Banque / Assurance / Finance"),
-            (None, "Banque Alpha", "Banque / Assurance / Finance"), (None, None, "Autre / Non précisé"),
-            ("Divers", "Clinique medical", "Santé / Pharma"), ("Transport", "Banque Alpha", "Transport / Logistique")]
-    df = spark.createDataFrame(rows, "raw string, company string, want string")
-    assert differing(df, labels.sector(norm(F.col("raw")), norm(F.col("company"))), F.col("want")) == []
+def test_seniority_by_title_then_years(spark):
+    """Every cue of every title rule with every contract and number of years; years of the field before those of the text."""
+    def want(title, years, contract, told):
+        if re.search(L.INTERN_TITLE, title) or contract in L.INTERN_CONTRACTS:
+            return L.INTERN
+        found = first_match(L.SENIORITY_TITLE_RULES, title, None)
+        years = told if years is None else years
+        return found or (UNKNOWN if years is None else "Junior" if years <= 2 else "Confirmé" if years <= 5 else "Senior")
+
+    titles = [s for _, p in L.SENIORITY_TITLE_RULES for s in samples(p)] + samples(L.INTERN_TITLE) + ["metier"]
+    rows = [(t, y, c, told, want(t, y, c, told)) for t in titles for y in (None, 0.0, 2.0, 2.1, 5.0, 5.5)
+            for c in ("CDI", *L.INTERN_CONTRACTS) for told in (None, 2.0, 5.0, 9.0)]
+    df = spark.createDataFrame(rows, "title string, years double, contract string, told double, want string")
+    got = labels.seniority(norm(F.col("title")), F.col("contract"), F.col("years"), F.col("told"))
+    assert differing(df, got, F.col("want")) == []
+
+
+def test_years_of_experience(spark):
+    rows = [(s, 0.0) for s in samples(L.BEGINNER)] + [(f"{s} ou 7 ans", 0.0) for s in samples(L.BEGINNER)[:2]]
+    for n in (0, 1, 4, 15):
+        rows += [(f"{lead}{n}{tail}", float(n)) for lead in ("", "au moins ", "de ") for tail in (" an(s)", " ans", " years", "ans", " year")]
+        rows += [(f"{n}{sign}5 ans", n + 0.5) for sign in ".,"]
+    rows += [(f"{n} mois", float(round(Decimal(n) / 12, 1))) for n in (1, 5, 7, 12, 26, 40)]
+    rows += [("8 ans puis 3 ans", 8.0), ("30 mois et 2 ans", 2.0), ("annees", None), ("", None), (None, None)]
+    df = spark.createDataFrame(rows, "t string, want double")
+    assert differing(df, labels.experience_years(norm(F.col("t"))), F.col("want")) == []
 
 
-def test_scope(spark):
-    rows = [("Data Engineer confirmé", True), ("Développeur Power BI", True), ("Data Scientist pricing", True),
-            ("Boulanger", False), ("Chauffeur livreur", False), ("Professeur d'anglais", False)]
+def test_scope_exclusion_wins(spark):
+    inside, outside = samples(L.SCOPE_INCLUDED), samples(L.SCOPE_EXCLUDED)
+    rows = [(t, True) for t in inside] + [(t, False) for t in outside] + [("metier", False)]
+    rows += [(f"{a} {b}", False) for a in inside[:4] for b in outside]
+    rows = [(t, w and not re.search(L.SCOPE_EXCLUDED, t)) for t, w in rows]
     df = spark.createDataFrame(rows, "t string, want boolean")
     assert differing(df, labels.in_scope(norm(F.col("t"))), F.col("want")) == []
 

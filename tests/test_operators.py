@@ -118,7 +118,7 @@ def test_two_pass_dedup_keeps_the_passes_apart(spark):
             ("G", "4", "2026-02-01", 8), ("G", "5", "2026-01-01", 9), ("H", "4", "2026-03-01", 10)]
     df = spark.createDataFrame(rows, "offer string, key string, day string, seq int") \
         .withColumn("day", F.to_date("day")).repartition(4)
-    best = two_pass(df, ["offer"], ["key"], oldest_then_latest_arrival("day", ["seq"]))
+    best = two_pass(df, ["offer"], ["key"], oldest_then_latest_arrival("day", ["seq"]), ["seq"])
     assert sorted(r.seq for r in best.collect()) == [2, 5, 7, 9, 10]
 
 

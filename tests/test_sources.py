@@ -117,4 +117,7 @@ def test_landing(spark, tmp_path):
 
 def test_city_reference_from_csv(spark, tmp_path):
     path = write(tmp_path / "cities.csv", "city,dept_code,region,latitude,longitude\n" + CITY_CSV)
-    assert read_cities(spark, path).cities == DEFAULT_PLACES.cities and len(DEFAULT_PLACES.cities) == 57
+    read, fixed = (places.city_table(spark) for places in (read_cities(spark, path), DEFAULT_PLACES))
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, fixed.collect())) and fixed.count() == 57
+    regions = [sorted(map(tuple, p.department_table(spark).collect())) for p in (read_cities(spark, path), DEFAULT_PLACES)]
+    assert regions[0] == regions[1]
