@@ -182,7 +182,8 @@ def test_near_duplicates(docs, width):
 def test_turns_decide_crowded_buckets(spark, monkeypatch):
     """Texts that share most of a passage: many members of one bucket, few of them linked."""
     monkeypatch.setattr(hyperminhash, "CROWD", 4)
-    monkeypatch.setattr(hyperminhash, "ASKERS", 3)
+    monkeypatch.setattr(hyperminhash, "ASKERS", 20)
+    monkeypatch.setattr(hyperminhash, "BLOCK", 7)
     rows = [(i, edited(BASE, int(n))) for i, n in enumerate(rng.integers(0, 9, 80))]
     rows += [(100 + i, rows[i][1] + " schluss") for i in range(0, 80, 3)]
     got = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=5).collect()
