@@ -7,45 +7,54 @@ scale folder, as a run does, and the views read them back.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from offerscope import schemas
 from offerscope.bindings.cleaning import _PLACES, _pick, _sql_pick
-from offerscope.bindings.registry import MIDDLE, half_up, nearest, pct, query, ranked, table
+from offerscope.bindings.mining import terms_sql
+from offerscope.bindings.registry import MIDDLE, SQL, half_up, nearest, pct, query, ranked, table
 from offerscope.functions.text import round_half_up
 from offerscope.operators.filters import slice_offers
 from offerscope.plans import insights as I, profile as P, views as V, warehouse as W
-from offerscope.plans.clean import clean_offers
+from offerscope.plans.clean import Staged, stage_offers, unique_offers
+from offerscope.plans.export import export_tables, export_views, read_csv
 from offerscope.session import shared_dir
 from offerscope.settings import Settings
-from offerscope.sources.landing import as_raw
+from offerscope.sources.landing import as_raw, write_landing
+from offerscope.streaming import incremental
+from offerscope.vocab.labels import OTHER_SECTOR, SELECTION_LABELS
+from offerscope.vocab.stopwords import FRENCH, RECRUITMENT
 
 SETTINGS = Settings(max_age_days=2000)
 
 # (title, role family, level the title states, skill the title cites); the empty role is out of the market.
 _TITLES = [
-    ("Data Analyst H/F", "Data Analyst", None, None), ("Senior Data Engineer", "Data Engineer", "Senior", None),
-    ("Data Scientist Junior", "Data Scientist", "Junior", None),
-    ("Stage - Machine Learning Engineer", "Machine Learning Engineer", "Stage / Alternance", "Machine Learning"),
-    ("Consultant BI confirmé", "Analytics Engineer / BI", "Confirmé", None),
-    ("Data Steward", "Data Manager / Gouvernance", None, None), ("Professeur de data", None, None, None),
-    ("   ", None, None, None), ("Ingénieur IA générative", "AI / LLM Engineer", None, "IA générative"),
-    ("Lead Data", "Chef de projet / Lead Data & IA", "Senior", None), ("Expert data", "Autre métier data", "Senior", None),
-    ("Data Engineer", "Data Engineer", None, None),
+    ("Analyst données clients", "Data Analyst", None, None), ("Data Engineer principal", "Data Engineer", "Senior", None),
+    ("Statisticien débutant", "Data Scientist", "Junior", None),
+    ("Apprenti Machine Learning Engineer", "Machine Learning Engineer", "Stage / Alternance", "Machine Learning"),
+    ("Développeur BI expérimenté", "Analytics Engineer / BI", "Confirmé", None),
+    ("Data Owner", "Data Manager / Gouvernance", None, None), ("Enseignant en data", None, None, None),
+    ("   ", None, None, None), ("Projets IA générative", "AI / LLM Engineer", None, "IA générative"),
+    ("Head of Data", "Chef de projet / Lead Data & IA", "Senior", None), ("Staff data", "Autre métier data", "Senior", None),
+    ("Big data", "Data Engineer", None, None),
 ]
 # (description, remote policy, skills)
 _BODIES = [
-    ("Python, SQL et Tableau. Télétravail possible 2 jours par semaine.", "Hybride", ["Python", "SQL", "Tableau"]),
-    ("Spark, Airflow, Python sur AWS. Poste en full remote.", "Full remote", ["Python", "Spark", "Airflow", "AWS"]),
-    ("Excel et Power BI, tableaux de bord. Pas de télétravail.", "Sur site", ["Power BI", "Excel", "KPI & reporting"]),
+    ("Vos outils : Tableau, SQL, Python. Deux jours de télétravail.", "Hybride", ["Python", "SQL", "Tableau"]),
+    ("AWS, Airflow, Spark ainsi que Python ; remote first.", "Full remote", ["Python", "Spark", "Airflow", "AWS"]),
+    ("Power BI puis Excel : tableaux de bord mensuels, aucun télétravail.", "Sur site", ["Power BI", "Excel", "KPI & reporting"]),
     ("", "Non précisé", []),
-    ("LLM, RAG et Python. Mode hybride.", "Hybride", ["Python", "LLM", "RAG"]),
-    ("Esprit d’équipe et anglais. SQL.", "Non précisé", ["SQL", "Travail en équipe", "Anglais"]),
+    ("Python au service de RAG et LLM, rythme hybride.", "Hybride", ["Python", "LLM", "RAG"]),
+    ("SQL, anglais courant, esprit d’équipe.", "Non précisé", ["SQL", "Travail en équipe", "Anglais"]),
 ]
 _SECTORS = {"AUTOMOBILE": ("Automobile", "Industrie / Aéronautique"),
-            "BUILDING": ("Activités des banques", "Banque / Assurance / Finance"),
-            "FURNITURE": ("Commerce de détail", "Retail / E-commerce"), "HOUSEHOLD": (None, "Autre / Non précisé"),
-            "MACHINERY": ("Conseil en systèmes et logiciels informatiques", "Conseil / ESN")}
-_LON = [2.3522, 4.8357, -1.5536, None, None, 4.8357, 4.0317, None, None, 4.3872, None, 5.3698]
+            "BUILDING": ("Mutuelle", "Banque / Assurance / Finance"),
+            "FURNITURE": ("Grande distribution", "Retail / E-commerce"), "HOUSEHOLD": (None, "Autre / Non précisé"),
+            "MACHINERY": ("Hébergement de sites", "Conseil / ESN")}
+_LON = [4.8357, -1.5536, 4.0317, None, None, 5.3698, 4.3872, None, None, 2.3522, None, 4.8357]
 
 
 def raw_adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,17 +88,26 @@ def raw_adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_raw(rows, "_arrival")
 
 
+def staged_adverts(spark: SparkSession, sf_dir: str) -> Staged:
+    return stage_offers(raw_adverts(spark, sf_dir), shared_dir(spark, "staged-adverts"), SETTINGS, arrival=["_arrival"])
+
+
 _STORED: dict[tuple[str, str], str] = {}
 
 
-def warehouse_of(spark: SparkSession, sf_dir: str) -> W.Warehouse:
-    """The stored warehouse of a scale folder, built on first use in a session."""
+def warehouse_path(spark: SparkSession, sf_dir: str) -> str:
+    """The stored warehouse of a scale folder, built on first use in a session: the fourteen views read one load."""
     slot = (spark.sparkContext.applicationId, sf_dir)
     if slot not in _STORED:
-        path = shared_dir(spark, "warehouse")
-        W.store(clean_offers(raw_adverts(spark, sf_dir), SETTINGS, arrival=["_arrival"]), path, SETTINGS)
+        path, staged = shared_dir(spark, "warehouse"), staged_adverts(spark, sf_dir)
+        counts = W.store(unique_offers(staged.chosen(SETTINGS.data_mode), SETTINGS, ["_arrival"]), path, SETTINGS)
+        W.log_run(spark, path, SELECTION_LABELS["real"], staged.real, counts["offers"], counts["offer_skills"])
         _STORED[slot] = path
-    return W.load(spark, _STORED[slot])
+    return _STORED[slot]
+
+
+def warehouse_of(spark: SparkSession, sf_dir: str) -> W.Warehouse:
+    return W.load(spark, warehouse_path(spark, sf_dir))
 
 
 def _case(key: str, pairs: dict) -> str:
@@ -111,7 +129,7 @@ src AS (SELECT o_orderkey AS k, c_custkey AS c, o_orderstatus AS st, {_PRICE} AS
 lab AS (SELECT *, TRIM({_sql_pick('k', [t[0] for t in _TITLES])}) AS title, {_sql_pick('k', [t[1] for t in _TITLES])} AS role_family,
           COALESCE({_sql_pick('k', [t[2] for t in _TITLES])}, CASE WHEN k % 4 = 0 THEN 'Confirmé' ELSE 'Non précisé' END) AS seniority,
           CASE WHEN k % 4 = 0 THEN CAST(3 AS DOUBLE) END AS experience_years,
-          CASE WHEN k % 12 = 3 THEN 'Stage' WHEN st = 'F' THEN 'CDI' WHEN st = 'O' THEN 'CDD' ELSE 'Freelance' END AS contract_type,
+          CASE WHEN k % 12 = 3 THEN 'Alternance' WHEN st = 'F' THEN 'CDI' WHEN st = 'O' THEN 'CDD' ELSE 'Freelance' END AS contract_type,
           CASE WHEN c % 10 <> 0 THEN c_name ELSE 'Non précisé' END AS company,
           {_case('c_mktsegment', {k: v[1] for k, v in _SECTORS.items()})} AS sector,
           {_sql_pick('c', [p[1] for p in _PLACES])} AS city, {_sql_pick('c', [p[2] for p in _PLACES])} AS department_code,
@@ -143,8 +161,8 @@ _TOTAL = "(SELECT COUNT(*) FROM offers)"
   city, department_code, region, latitude, longitude, remote_policy, salary_min, salary_max, salary_mid, has_salary, daily_rate,
   published_date, published_month FROM offers""")
 def clean_adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw records to clean offers in one plan, nothing stored in between."""
-    clean = clean_offers(raw_adverts(spark, sf_dir), SETTINGS, arrival=["_arrival"])
+    """Raw records to clean offers, staged in between as a run does."""
+    clean = unique_offers(staged_adverts(spark, sf_dir).chosen(SETTINGS.data_mode), SETTINGS, ["_arrival"])
     return clean.select("offer_id", "title", "role_family", "seniority", "experience_years", "contract_type", "company", "sector",
                         "city", "department_code", "region", "latitude", "longitude", "remote_policy", "salary_min", "salary_max",
                         "salary_mid", "has_salary", "daily_rate", "published_date", "published_month")
@@ -239,16 +257,89 @@ _LEVEL_ROWS = f"""SELECT role_family AS metier, seniority AS seniorite, CASE sen
 _view("seniorite_metier", f"WITH {_OFFERS} {_LEVEL_ROWS}")
 _view("contrats", f"""WITH {_OFFERS} SELECT contract_type AS type_contrat, role_family AS metier, COUNT(*) AS nb_offres,
   {half_up('AVG(daily_rate)', 0)} AS tjm_moyen FROM offers GROUP BY 1, 2""")
-_view("termes_tfidf", None)
-
-
-@query("warehouse_constraints", """
-SELECT "table", rule, CAST(0 AS BIGINT) AS violations FROM (VALUES ('offers', 'primary key (offer_id)'), ('skills', 'primary key (skill)'),
-  ('offer_skills', 'primary key (offer_id, skill)'), ('offer_skills', 'foreign key (offer_id)'), ('offer_skills', 'foreign key (skill)'))
-  v("table", rule)""")
+_TERM_ROWS = "advert_texts AS (SELECT offer_id, role_family, " + _sql_pick("k", [b[0] for b in _BODIES]) + " AS description FROM offers)"
+_TERMS = f"{_TERM_ROWS}, {terms_sql('advert_texts', 'offer_id', 'role_family', 'description', FRENCH | RECRUITMENT)}"  # the adverts hold no English stop word
+_view("termes_tfidf", f"""WITH {_OFFERS}, {_TERMS} SELECT lang AS metier, term AS terme, tfidf_score AS score_tfidf, rank AS rang
+  FROM ranked_terms""")
+
+
+@query("exported_views", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, (SELECT COUNT(*) FROM ({SQL[f'view_{name}']})) AS n" for name in V.VIEWS if name != "villes")
+    + f" UNION ALL SELECT 'villes', (SELECT COUNT(*) FROM (WITH {_OFFERS} {_CITIES}))")
+def exported_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every view written as CSV and read back: its rows."""
+    path = shared_dir(spark, "exports")
+    written = export_views(warehouse_of(spark, sf_dir), path)
+    back = [spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{path}/{name}.csv").agg(
+        F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name in written]
+    return reduce(DataFrame.unionByName, back)
+
+
+@query("processed_csv", f"""WITH {_OFFERS} SELECT offer_id, title, {_sql_pick('k', [b[0] or None for b in _BODIES])} AS description, city, salary_mid,
+  published_date, skills_count FROM offers""")
+def processed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed offers as CSV, read back with their types; CSV knows no empty text beside NULL."""
+    path = shared_dir(spark, "processed")
+    export_tables(warehouse_of(spark, sf_dir), path)
+    back = read_csv(spark, f"{path}/offers.csv", schemas.OFFERS)
+    return back.select("offer_id", "title", "description", "city", "salary_mid", "published_date", "skills_count")
+
+
+@query("run_log", f"""WITH {_OFFERS} SELECT 'réel' AS dataset_label, (SELECT COUNT(*) FROM src) AS n_raw, (SELECT COUNT(*) FROM offers) AS n_offers,
+  (SELECT COUNT(*) FROM links) AS n_offer_skills""")
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = spark.read.parquet(f"{warehouse_path(spark, sf_dir)}/pipeline_runs")
+    return log.select("dataset_label", "n_raw", "n_offers", "n_offer_skills")
+
+
+@query("sql_views", f"""WITH {_OFFERS} SELECT city AS ville, role_family AS metier, COUNT(*) AS nb, COUNT(*) FILTER (WHERE contract_type = 'CDI') AS cdi
+  FROM offers WHERE remote = 1 GROUP BY 1, 2""")
+def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered view read with SQL."""
+    V.register(warehouse_of(spark, sf_dir))
+    return spark.sql("SELECT ville, metier, COUNT(*) AS nb, SUM(est_cdi) AS cdi FROM v_offres WHERE teletravail_possible = 1 GROUP BY ville, metier")
+
+
+@query("incremental_adverts", f"""WITH {_OFFERS.replace('published_date NULLS LAST, k DESC) = 1),', 'published_date NULLS LAST, source DESC, k DESC) = 1),')}
+  SELECT offer_id, title, role_family, seniority, company, city, salary_mid, published_date FROM offers""")
+def incremental_adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adverts landed as files of their sources, taken up by the stream and made unique over the staged rows."""
+    folder = shared_dir(spark, "incremental")
+    ordered = raw_adverts(spark, sf_dir).repartitionByRange("source", "_arrival").sortWithinPartitions("source", "_arrival")
+    write_landing(ordered.drop("_arrival"), f"{folder}/raw", datetime(2026, 1, 1, tzinfo=timezone.utc))
+    incremental.start(spark, f"{folder}/raw", f"{folder}/staging", f"{folder}/marks", SETTINGS).awaitTermination()
+    clean = incremental.unique_staged(spark, f"{folder}/staging", SETTINGS)
+    return clean.select("offer_id", "title", "role_family", "seniority", "company", "city", "salary_mid", "published_date")
+
+
+_RULES = {
+    "offers": [*(f"{c} not null" for c in ("offer_id", "source", "source_id", "is_demo", "title", "role_family", "seniority", "contract_type",
+                                           "sector", "city", "region", "remote_policy", "has_salary", "skills_count")),
+               "is_demo in (0, 1)", "has_salary in (0, 1)", "primary key (offer_id)"],
+    "skills": ["skill not null", "category not null", "skill_type not null", "skill_type in (tech, skill)", "primary key (skill)"],
+    "offer_skills": ["offer_id not null", "skill not null", "primary key (offer_id, skill)", "foreign key (offer_id)", "foreign key (skill)"],
+    "top_terms": ["role_family not null", "term not null", "tfidf_score not null", "rank not null"]}
+
+
+@query("warehouse_constraints", f"""WITH {_OFFERS}, {_CATALOGUE}
+SELECT 'sound' AS load, "table", rule, CAST(0 AS BIGINT) AS violations FROM (VALUES {", ".join(
+    f"('{t}', '{r}')" for t, rules in _RULES.items() for r in rules)}) v("table", rule)
+UNION ALL SELECT 'broken', 'offers', 'is_demo in (0, 1)', COUNT(*) FROM offers
+UNION ALL SELECT 'broken', 'offers', 'has_salary in (0, 1)', COUNT(*) FROM offers WHERE has_salary = 1
+UNION ALL SELECT 'broken', 'offers', 'sector not null', COUNT(*) FROM offers WHERE sector = 'Autre / Non précisé'
+UNION ALL SELECT 'broken', 'offer_skills', 'primary key (offer_id, skill)', COUNT(*) FROM links
+UNION ALL SELECT 'broken', 'offer_skills', 'foreign key (skill)', 2 * COUNT(*) FROM links WHERE skill = 'SQL'
+UNION ALL SELECT 'broken', 'skills', 'skill_type in (tech, skill)', COUNT(*) FROM dictionary WHERE kind = 'Technologie' AND skill <> 'SQL'""")
 def warehouse_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = W.constraints(warehouse_of(spark, sf_dir))
-    return report.where(F.col("rule").contains("key") & (F.col("violations") >= 0))
+    """The whole report over the stored load, and what it says of a load with rows that break rules of every kind."""
+    w = warehouse_of(spark, sf_dir)
+    broken = W.Warehouse(
+        offers=w.offers.withColumns({"is_demo": F.lit(2), "has_salary": F.col("has_salary") * 3,
+                                     "sector": F.when(F.col("sector") != OTHER_SECTOR, F.col("sector"))}),
+        skills=w.skills.where("skill <> 'SQL'").withColumn("skill_type", F.when(F.col("skill_type") == "tech", "tool").otherwise("skill")),
+        offer_skills=w.offer_skills.union(w.offer_skills), top_terms=w.top_terms)
+    return W.constraints(w).withColumn("load", F.lit("sound")).unionByName(
+        W.constraints(broken).where("violations > 0").withColumn("load", F.lit("broken")))
 
 
 @query("advert_quality", f"WITH {_OFFERS} " + " UNION ALL ".join(

@@ -170,9 +170,9 @@ def role_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", labels.role_family(norm(F.col("p_name")), rules, "other").alias("family"))
 
 
-_TITLES = ["Data Analyst H/F", "Ingénieur de données", "Data Scientist NLP", "MLOps Engineer",
-           "Ingénieur IA générative", "Consultant BI", "Consultant Data & IA", "Data Quality Analyst",
-           "Chef de projet", "Lead Tech IA F/H", "Chercheur appliqué intelligence artificielle"]
+_TITLES = ["Reporting Analyst bilingue", "Big Data - développeur Spark", "Statisticien assurance", "Plateforme MLOps",
+           "Prompt Engineer", "Développeur décisionnel Cognos", "Consultant référentiels", "Data Owner achats",
+           "Conducteur de travaux", "Responsable de l'offre données", "Doctorant en vision"]
 _ROLES = ["Data Analyst", "Data Engineer", "Data Scientist", "Machine Learning Engineer", "AI / LLM Engineer",
           "Analytics Engineer / BI", "Consultant Data & IA", "Data Manager / Gouvernance", "Autre métier data",
           "Chef de projet / Lead Data & IA", "Recherche / R&D IA"]
@@ -212,8 +212,8 @@ def experience_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", labels.experience_years(norm(text)).alias("years"))
 
 
-_CONTRACT_TEXTS = ["Contrat à durée indéterminée", "CDD", "Alternance 12 mois", "permanent full_time", "Freelance",
-                   "MIS", "Stage de fin d'études", "à discuter", None]
+_CONTRACT_TEXTS = ["embauche à durée indéterminée", "remplacement à durée déterminée", "contrat pro sur deux ans", "Full time",
+                   "portage salarial", "saisonnier", "internship (3 months)", "statut à convenir", None]
 _CONTRACTS = ["CDI", "CDD", "Alternance", "CDI", "Freelance", "Intérim / temporaire", "Stage", "Non précisé", "Non précisé"]
 
 
@@ -228,8 +228,8 @@ def contract_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", labels.contract_type(norm(raw), norm(title)).alias("contract"))
 
 
-_REMOTE_TEXTS = ["Télétravail possible 2 jours par semaine.", "Poste en full remote", "100% télétravail",
-                 "Poste basé sur site, pas de télétravail.", "Mode de travail hybride", "Rien à signaler", ""]
+_REMOTE_TEXTS = ["rythme hybride au choix", "équipe remote first", "télétravail intégral depuis la province",
+                 "atelier : aucun télétravail", "travail à distance le vendredi", "bureaux près du canal", ""]
 _REMOTE = ["Hybride", "Full remote", "Full remote", "Sur site", "Hybride", "Non précisé", "Non précisé"]
 
 
@@ -242,8 +242,8 @@ def remote_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", labels.remote_policy(text).alias("policy"))
 
 
-_SECTOR_TEXTS = ["Conseil en systèmes et logiciels informatiques", "Production et distribution d'électricité",
-                 "Industrie pharmaceutique", "Activités des banques", "Divers", None]
+_SECTOR_TEXTS = ["Hébergement et programmation", "Eau et assainissement", "Laboratoire de biotech", "Mutuelle régionale",
+                 "Tous domaines", None]
 _SECTORS = ["Conseil / ESN", "Énergie / Utilities", "Santé / Pharma", "Banque / Assurance / Finance", None, None]
 
 
@@ -265,20 +265,20 @@ def company_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", labels.company_or_unknown(name).alias("company"))
 
 
-# (text, city, department, region, coordinates taken from the reference)
+# (text, city, department, region, latitude taken from the reference)
 _PLACES = [
-    ("75 - PARIS 08", "Paris", "75", "Île-de-France", 48.8566),
-    ("Lyon 3e Arrondissement", "Lyon", "69", "Auvergne-Rhône-Alpes", 45.7640),
-    ("Nantes, Pays de la Loire", "Nantes", "44", "Pays de la Loire", 47.2184),
-    ("79 - Niort", "Niort", "79", "Nouvelle-Aquitaine", None),
-    ("Hauts-de-Seine", "Non précisé", "92", "Île-de-France", None),
-    ("1er-Arrondissement, Lyon, Rhône, Auvergne-Rhône-Alpes", "Lyon", "69", "Auvergne-Rhône-Alpes", 45.7640),
-    ("Reims 1er Canton, Reims, Marne, Grand-Est", "Reims", "51", "Grand Est", 49.2583),
-    ("France", "Non précisé", None, "Non précisé", None),
-    ("L'ISLE-D'ABEAU, Isère", "L'Isle-D'Abeau", "38", "Auvergne-Rhône-Alpes", None),
-    ("Saint Etienne (42)", "Saint-Étienne", "42", "Auvergne-Rhône-Alpes", 45.4397),
-    ("Ile-de-France, France", "Non précisé", None, "Île-de-France", None),
-    ("MARSEILLE CEDEX 08", "Marseille", "13", "Provence-Alpes-Côte d'Azur", 43.2965),
+    ("69 - LYON 07", "Lyon", "69", "Auvergne-Rhône-Alpes", 45.7640),
+    ("nantes 2e arrondissement", "Nantes", "44", "Pays de la Loire", 47.2184),
+    ("Reims, Grand Est", "Reims", "51", "Grand Est", 49.2583),
+    ("72 - Mamers", "Mamers", "72", "Pays de la Loire", None),
+    ("Lozère", "Non précisé", "48", "Occitanie", None),
+    ("5e Arrondissement, Marseille, Bouches-du-Rhône", "Marseille", "13", "Provence-Alpes-Côte d'Azur", 43.2965),
+    ("Saint-Étienne, Loire", "Saint-Étienne", "42", "Auvergne-Rhône-Alpes", 45.4397),
+    ("FRANCE", "Non précisé", None, "Non précisé", None),
+    ("l'Aigle-sur-Risle, Orne", "L'Aigle-Sur-Risle", "61", "Normandie", None),
+    ("PARIS CEDEX 12", "Paris", "75", "Île-de-France", 48.8566),
+    ("Bretagne, France", "Non précisé", None, "Bretagne", None),
+    ("Lyon (69)", "Lyon", "69", "Auvergne-Rhône-Alpes", 45.7640),
 ]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from offerscope.bindings.registry import half_up, query, table
@@ -51,11 +53,12 @@ def skill_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.labelled_links(cited, "doc_id", WORDS)
 
 
-_ITEMS = ["R/Python et R&D", "CI/CD, scikit-learn, Power BI et PostgreSQL", "JavaScript uniquement",
-          "Modèles de series temporelles", "tableaux de bord avec Tableau", "Expérience en R&D chimie", "rien de spécial",
-          "ETL, SQL Server et C++ ; data pipelines sous Airflow"]
-_FOUND = [["Python", "R"], ["PostgreSQL", "Power BI", "CI/CD", "Scikit-learn"], ["JavaScript"], ["Séries temporelles"],
-          ["Tableau", "KPI & reporting"], [], [], ["SQL", "SQL Server", "Airflow", "ETL/ELT"]]
+# Own sentences around entries of the dictionary, and what each must yield in dictionary order.
+_ITEMS = ["Outils du poste : snowflake/DBT, Docker puis Kubernetes", "R, SAS et Matlab pour nos statisticiens", "Rust, Go et C++ au quotidien",
+          "nous migrons d’Azure vers GCP avec Terraform", "Scrum, mode agile, GIT ; SQLite", "reporting Excel hebdomadaire",
+          "aucun outil imposé", "PySpark + Scala sur Databricks, requêtes sql"]
+_FOUND = [["Snowflake", "dbt", "Docker", "Kubernetes"], ["R", "SAS"], [], ["Azure", "GCP"], ["Git", "Agile/Scrum"],
+          ["Excel", "KPI & reporting"], [], ["SQL", "Scala", "Spark", "Databricks"]]
 
 
 @query("skill_dictionary", "SELECT p_partkey, CAST(CASE p_partkey % 8 " + " ".join(
@@ -68,19 +71,52 @@ def skill_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STOP = FRENCH | RECRUITMENT
-_STOP_SQL = "(" + ", ".join(f"'{w}'" for w in sorted(STOP)) + ")"
-# "ß" is the one word character RE2 does not treat as such: nothing starts inside the word it belongs to.
-_TOKENS = rf"""
-segments AS (SELECT doc_id, lang, UNNEST(STRING_SPLIT_REGEX(STRIP_ACCENTS(LOWER(text)), '[,.;:!?()\n•|]+')) AS s
-             FROM documents),
+
+
+def _in_sql(words) -> str:
+    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(words)) + ")"
+
+
+def tokens_sql(source: str, doc: str, group: str, text: str, stop) -> str:
+    # "ß" is the one word character RE2 does not treat as such: nothing starts inside the word it belongs to.
+    return rf"""
+segments AS (SELECT {doc} AS doc_id, {group} AS lang, UNNEST(STRING_SPLIT_REGEX(STRIP_ACCENTS(LOWER({text})), '[,.;:!?()\n•|]+')) AS s
+             FROM {source}),
 lists AS (SELECT doc_id, lang, LIST_FILTER(REGEXP_EXTRACT_ALL(REGEXP_REPLACE(s, 'ß[a-z0-9_ß]*', ' ', 'g'),
-            '\b[a-z][a-z0-9+#/\-]*[a-z0-9+#]'), lambda t: t NOT IN {_STOP_SQL}) AS tokens FROM segments)"""
-_GRAMS = f"""{_TOKENS},
+            '\b[a-z][a-z0-9+#/\-]*[a-z0-9+#]'), lambda t: t NOT IN {_in_sql(stop)}) AS tokens FROM segments)"""
+
+
+def grams_sql(*source) -> str:
+    return f"""{tokens_sql(*source)},
 grams AS (SELECT doc_id, lang, UNNEST(tokens) AS term FROM lists UNION ALL
           SELECT doc_id, lang, UNNEST(LIST_TRANSFORM(RANGE(1, LEN(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1]))
           FROM lists WHERE LEN(tokens) > 1)"""
 
 
+def terms_sql(source: str, doc: str, group: str, text: str, stop) -> str:
+    """The steps from `grams` to `kept` and `ranked_terms`, as common table expressions."""
+    return f"""{grams_sql(source, doc, group, text, stop)},
+tf AS (SELECT doc_id, lang, term, COUNT(*) AS tf FROM grams GROUP BY 1, 2, 3),
+n AS (SELECT COUNT(*) AS n FROM {source}),
+df AS (SELECT term, COUNT(*) AS df FROM tf GROUP BY term HAVING COUNT(*) >= 3 AND COUNT(*) <= 0.6 * (SELECT n FROM n)),
+w AS (SELECT doc_id, lang, term, (1 + LN(tf)) * (LN((1.0 + (SELECT n FROM n)) / (1.0 + df)) + 1) AS w FROM tf JOIN df USING (term)),
+u AS (SELECT lang, term, w / SQRT(SUM(w * w) OVER (PARTITION BY doc_id)) AS w FROM w),
+size AS (SELECT {group} AS lang, COUNT(*) AS docs FROM {source} GROUP BY 1 HAVING COUNT(*) >= 3),
+score AS (SELECT lang, term, SUM(w) / docs AS score FROM u JOIN size USING (lang) GROUP BY lang, term, docs),
+best AS (SELECT *, CAST(score AS DECIMAL(30,10)) AS o FROM score WHERE score > 0
+         QUALIFY ROW_NUMBER() OVER (PARTITION BY lang ORDER BY CAST(score AS DECIMAL(30,10)) DESC, term DESC) <= 75),
+carried AS (SELECT lang, word, MAX(o) AS carrier FROM (SELECT lang, o, UNNEST(STRING_SPLIT(term, ' ')) AS word FROM best
+            WHERE CONTAINS(term, ' ')) GROUP BY 1, 2),
+kept AS (SELECT b.* FROM best b LEFT JOIN carried c ON c.lang = b.lang AND c.word = b.term
+         WHERE CONTAINS(b.term, ' ') OR c.carrier IS NULL OR c.carrier < 0.9 * b.o),
+ranked_terms AS (SELECT lang, term, {half_up('score', 5)} AS tfidf_score,
+         ROW_NUMBER() OVER (PARTITION BY lang ORDER BY o DESC, term DESC) AS rank FROM kept QUALIFY rank <= 25)"""
+
+
+_DOCUMENTS = ("documents", "doc_id", "lang", "text", STOP)
+_TOKENS, _GRAMS = tokens_sql(*_DOCUMENTS), grams_sql(*_DOCUMENTS)
+
+
 @query("token_counts", f"WITH {_TOKENS} SELECT lang, term, COUNT(*) AS n FROM (SELECT lang, UNNEST(tokens) AS term FROM lists) GROUP BY 1, 2")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = F.flatten(T.tokens_by_segment(F.col("text"), STOP))
@@ -95,22 +131,18 @@ def gram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "term", "tf")
 
 
-@query("tfidf_by_group", f"""
-WITH {_GRAMS},
-tf AS (SELECT doc_id, lang, term, COUNT(*) AS tf FROM grams GROUP BY 1, 2, 3),
-n AS (SELECT COUNT(*) AS n FROM documents),
-df AS (SELECT term, COUNT(*) AS df FROM tf GROUP BY term HAVING COUNT(*) >= 3 AND COUNT(*) <= 0.6 * (SELECT n FROM n)),
-w AS (SELECT doc_id, lang, term, (1 + LN(tf)) * (LN((1.0 + (SELECT n FROM n)) / (1.0 + df)) + 1) AS w FROM tf JOIN df USING (term)),
-u AS (SELECT lang, term, w / SQRT(SUM(w * w) OVER (PARTITION BY doc_id)) AS w FROM w),
-size AS (SELECT lang, COUNT(*) AS docs FROM documents GROUP BY lang HAVING COUNT(*) >= 3),
-score AS (SELECT lang, term, SUM(w) / docs AS score FROM u JOIN size USING (lang) GROUP BY lang, term, docs),
-best AS (SELECT *, CAST(score AS DECIMAL(30,10)) AS o FROM score WHERE score > 0
-         QUALIFY ROW_NUMBER() OVER (PARTITION BY lang ORDER BY CAST(score AS DECIMAL(30,10)) DESC, term DESC) <= 75),
-carried AS (SELECT lang, word, MAX(o) AS carrier FROM (SELECT lang, o, UNNEST(STRING_SPLIT(term, ' ')) AS word FROM best
-            WHERE CONTAINS(term, ' ')) GROUP BY 1, 2),
-kept AS (SELECT b.* FROM best b LEFT JOIN carried c ON c.lang = b.lang AND c.word = b.term
-         WHERE CONTAINS(b.term, ' ') OR c.carrier IS NULL OR c.carrier < 0.9 * b.o)
-SELECT lang, term, {half_up('score', 5)} AS tfidf_score, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY o DESC, term DESC) AS rank
-FROM kept QUALIFY rank <= 25""")
+@query("tfidf_by_group", f"WITH {terms_sql(*_DOCUMENTS)} SELECT * FROM ranked_terms")
 def tfidf_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.top_terms(documents(spark, sf_dir), "doc_id", "lang", "text", STOP)
+
+
+@query("tfidf_guards", f"""WITH {terms_sql(*_DOCUMENTS)} SELECT 'whole' AS input, COUNT(*) AS terms FROM ranked_terms
+UNION ALL SELECT 'no documents', 0 UNION ALL SELECT 'empty texts', 0 UNION ALL SELECT 'no text twice', 0""")
+def tfidf_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs without documents, without text, or without a term that enough documents share give no rows, of the same columns."""
+    docs = documents(spark, sf_dir)
+    inputs = {"whole": docs, "no documents": docs.where("doc_id is null"), "empty texts": docs.withColumn("text", F.lit("")),
+              "no text twice": docs.withColumn("text", F.concat(F.lit("wort"), F.translate(F.col("doc_id").cast("string"), "0123456789", "abcdefghij")))}
+    counts = [T.top_terms(table, "doc_id", "lang", "text", STOP).select("lang", "term", "tfidf_score", "rank").agg(
+        F.count(F.lit(1)).alias("terms")).select(F.lit(name).alias("input"), "terms") for name, table in inputs.items()]
+    return reduce(DataFrame.unionByName, counts)

@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from offerscope.functions.text import WORD, round_half_up, strip_accents
 from offerscope.operators.groups import top_n_per_group
 from offerscope.operators.skew import explode_computed, salted_join
+from offerscope.session import stored
 
 # What cuts a text into segments, and a token.
 SEGMENT_BREAK = r"[,.;:!?()\n•|]+"
+#: Rows of one term that one task may meet.
+ROWS_PER_SALT = 2_000_000
 TOKEN = rf"(?<![{WORD}])[a-z][a-z0-9+#/\-]*[a-z0-9+#]"
 
 
@@ -35,6 +38,14 @@ def grams(segments: Column) -> Column:
     return F.flatten(F.transform(segments, of))
 
 
+def counted(ordered: Column) -> Column:
+    """Distinct terms of a sorted array with their counts, inside the row: a count is the distance between the ends of two runs."""
+    ends = F.filter(F.sequence(F.lit(1), F.size(ordered)), lambda i: (i == F.size(ordered)) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+    runs = F.transform(F.arrays_zip(ends.alias("end"), F.concat(F.array(F.lit(0)), ends).alias("before")),
+                       lambda r: F.struct(F.get(ordered, r["end"] - 1).alias("term"), (r["end"] - r["before"]).cast("long").alias("tf")))
+    return F.when(F.size(ordered) > 0, F.slice(runs, F.lit(1), F.size(runs) - 1))
+
+
 def term_frequencies(docs: DataFrame, doc: str, group: str, text: str, stopwords: Iterable[str]) -> DataFrame:
     """(doc, group, term, tf)"""
     segments = tokens_by_segment(F.coalesce(F.col(text), F.lit("")), stopwords)
@@ -42,34 +53,34 @@ def term_frequencies(docs: DataFrame, doc: str, group: str, text: str, stopwords
     return rows.groupBy(doc, group, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def document_frequencies(docs: DataFrame, text: str, stopwords: Iterable[str]) -> DataFrame:
-    """(term, df): each document is counted once per term before anything is shuffled."""
-    segments = tokens_by_segment(F.coalesce(F.col(text), F.lit("")), stopwords)
-    rows = explode_computed(docs, [], F.array_distinct(grams(segments)), "term")
-    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-
-
 def mean_tfidf(docs: DataFrame, doc: str, group: str, text: str, stopwords: Iterable[str], min_df: int = 3,
                max_df: float = 0.6, min_group: int = 3) -> DataFrame:
     """(group, term, score): mean over all documents of the group of the L2-normalised weight.
 
     Weight (1 + ln tf) * (ln((1+N)/(1+df)) + 1); terms outside [min_df, max_df*N] are no part of the vocabulary.
+
+    Texts are tokenised once, into a stored table of one row per document with its sorted terms. Counts are taken inside the row, so
+    the document frequencies combine on the map side, and rows of (document, term) move once, to meet the vocabulary; the most
+    frequent term decides over how many salts. Null and empty texts are documents without terms; no documents, or no term inside
+    the bounds, give no rows.
     """
-    stop = frozenset(stopwords)
-    n_docs = docs.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    vocabulary = document_frequencies(docs, text, stop).where(
-        (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
+    terms = F.array_sort(grams(tokens_by_segment(F.coalesce(F.col(text), F.lit("")), frozenset(stopwords))))
+    rows = stored(docs.select(F.col(doc).alias("doc"), F.col(group).alias("group"), terms.alias("ordered")), "document-terms")
+    found = rows.select("doc", "group", F.explode(counted(F.col("ordered"))).alias("one")).select("doc", "group", "one.term", "one.tf")
+    n_docs = float(rows.count())
+    frequencies = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    vocabulary = stored(frequencies.where((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs)), "vocabulary")
+    most = vocabulary.agg(F.max("df")).first()[0] or 0
     vocabulary = vocabulary.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
-    # One term may occur in up to max_df of all documents, hence the salt; every document brings many other terms.
-    weights = salted_join(term_frequencies(docs, doc, group, text, stop), vocabulary, "term", [doc], salts=4)
+    weights = salted_join(found, vocabulary, "term", ["doc"], salts=max(1, -(-most // ROWS_PER_SALT)))
     weights = weights.withColumn("w", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
-    unit = weights.select(group, "term", (F.col("w") / length).alias("w"))
-    summed = unit.groupBy(group, "term").agg(F.sum("w").alias("w"))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc")))
+    unit = weights.select("group", "term", (F.col("w") / length).alias("w"))
+    summed = unit.groupBy("group", "term").agg(F.sum("w").alias("w"))
 
-    sizes = docs.groupBy(group).agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_group)
-    return summed.join(sizes, group).select(group, "term", (F.col("w") / F.col("docs")).alias("score")) \
+    sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_group)
+    return summed.join(sizes, "group").select(F.col("group").alias(group), "term", (F.col("w") / F.col("docs")).alias("score")) \
         .where(F.col("score") > 0)
 
 

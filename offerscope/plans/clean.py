@@ -106,6 +106,7 @@ class Staged:
     real: int
     demo: int
     out_of_scope: int
+    bad_lines: int = 0
 
     def chosen(self, mode: str) -> DataFrame:
         """The rows of a dataset mode; raw records outside the market count for the choice of ``auto``."""
@@ -120,12 +121,15 @@ def stage_offers(raw: DataFrame, path: str, settings: Settings = Settings(), pla
                  arrival: Sequence[str] = ARRIVAL) -> Staged:
     """Reads the raw text once. What needs the whole set reads narrow columns of the staged rows afterwards."""
     demo = F.coalesce(F.col("is_demo"), F.lit(False))
+    bad = F.col("_bad_line").isNotNull() if "_bad_line" in raw.columns else F.lit(False)
     counted, rejected = Observation("landed"), Observation("rejected")
-    raw = raw.observe(counted, F.count_if(~demo).alias("real"), F.count_if(demo).alias("demo"))
+    raw = raw.observe(counted, F.count_if(~demo & ~bad).alias("real"), F.count_if(demo & ~bad).alias("demo"), F.count_if(bad).alias("bad"))
+    if "_bad_line" in raw.columns:
+        raw = raw.where(~bad).drop("_bad_line")
     typed = typed_offers(raw, settings, places, rejected).select(*staged_columns(arrival))
     typed.write.parquet(path)
     return Staged(raw.sparkSession.read.schema(typed.schema).parquet(path), counted.get["real"], counted.get["demo"],
-                  rejected.get["out_of_scope"])
+                  rejected.get["out_of_scope"], counted.get["bad"])
 
 
 def clean_offers(raw: DataFrame, settings: Settings = Settings(), places: Places = DEFAULT_PLACES,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from offerscope import schemas
@@ -15,6 +17,7 @@ from offerscope.settings import Settings
 from offerscope.vocab.stopwords import advert_stopwords
 
 TABLES = ("offers", "skills", "offer_skills", "top_terms")
+_PUBLISHED = "number long, load string"
 _CITED = T.StructType(schemas.OFFERS.fields + [T.StructField("skills", T.ArrayType(T.StringType()))])
 
 
@@ -44,29 +47,57 @@ def build(cited: DataFrame, settings: Settings = Settings()) -> Warehouse:
 
 
 def store(clean: DataFrame, path: str, settings: Settings = Settings()) -> dict[str, int]:
-    """Full reload of the Parquet tables below ``path``; returns row counts observed while writing.
+    """Full reload: write, check, publish. Returns row counts observed while writing.
+
+    The tables go to a folder of their own below ``path/loads``. Only when they keep all rules, one row in ``path/published`` makes
+    them the current load; until then, and after a failed check, readers get the former one.
 
     The offers are written once, with their skills; bridge and terms are derived from that table, so the raw text
     is cleaned and searched in one pass.
     """
-    spark = clean.sparkSession
-    counts = {"offers": _overwrite(with_cited_skills(clean, settings), f"{path}/offers")}
-    derived = build(spark.read.schema(_CITED).parquet(f"{path}/offers"), settings)
-    for name in TABLES[1:]:
-        counts[name] = _overwrite(getattr(derived, name), f"{path}/{name}")
+    spark, name = clean.sparkSession, uuid4().hex
+    folder = f"{path}/loads/{name}"
+    counts = {"offers": _written(with_cited_skills(clean, settings), f"{folder}/offers")}
+    derived = build(spark.read.schema(_CITED).parquet(f"{folder}/offers"), settings)
+    for table in TABLES[1:]:
+        counts[table] = _written(getattr(derived, table), f"{folder}/{table}")
+    broken = constraints(_tables(spark, folder)).where("violations > 0").collect()  # one row per rule at most
+    if broken:
+        raise ValueError(f"the load breaks its rules, the former one stays published: {[tuple(r) for r in broken]}")
+    row = spark.createDataFrame([(_current(spark, path)[0] + 1, name)], _PUBLISHED)
+    row.coalesce(1).write.mode("append").parquet(f"{path}/published")
     return counts
 
 
-def _overwrite(table: DataFrame, path: str) -> int:
+def _written(table: DataFrame, path: str) -> int:
     seen = Observation()
-    table.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    table.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return seen.get["rows"]
 
 
-def load(spark: SparkSession, path: str) -> Warehouse:
+def _current(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number and name of the load that was published last; (0, None) before the first."""
+    try:
+        published = spark.read.parquet(f"{path}/published")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, None
+    return tuple(published.select("number", "load").orderBy(F.desc("number")).first())
+
+
+def _tables(spark: SparkSession, folder: str) -> Warehouse:
     schema = {"offers": schemas.OFFERS, "skills": schemas.SKILLS, "offer_skills": schemas.OFFER_SKILLS,
               "top_terms": schemas.TOP_TERMS}
-    return Warehouse(**{name: spark.read.schema(schema[name]).parquet(f"{path}/{name}") for name in TABLES})
+    return Warehouse(**{name: spark.read.schema(schema[name]).parquet(f"{folder}/{name}") for name in TABLES})
+
+
+def load(spark: SparkSession, path: str) -> Warehouse:
+    """The tables of the current load."""
+    _, name = _current(spark, path)
+    if name is None:
+        raise ValueError(f"nothing is published below {path}")
+    return _tables(spark, f"{path}/loads/{name}")
 
 
 def log_run(spark: SparkSession, path: str, label: str, n_raw: int, n_offers: int, n_links: int,

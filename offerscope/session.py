@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,3 +38,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = os.path.join(tempfile.gettempdir(), "offerscope")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table below the shared folder and read it back, so that what is derived from it several times is computed once.
+
+    Row groups are small enough that a table of few files still spreads over the cores.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.option("parquet.block.size", str(8 << 20)).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

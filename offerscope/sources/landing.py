@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from offerscope import schemas
 
@@ -19,6 +19,19 @@ def read_landing(spark: SparkSession, raw_dir: str, on_bad_line: str = "FAILFAST
     return with_arrival(reader.json(raw_dir))
 
 
+def read_marked(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """As ``read_landing``, but a line that is no record, or has a field of another type, is kept as text in ``_bad_line``."""
+    schema = T.StructType([*schemas.RAW.fields, T.StructField("_bad_line", T.StringType())])
+    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad_line")
+              .option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*"))
+    return with_arrival(reader.json(raw_dir))
+
+
+def bad_lines(marked: DataFrame) -> DataFrame:
+    """(file_name, line): what a quarantine table keeps of the lines that are no records."""
+    return marked.where(F.col("_bad_line").isNotNull()).select(F.col("_raw_file").alias("file_name"), F.col("_bad_line").alias("line"))
+
+
 def with_arrival(df: DataFrame) -> DataFrame:
     """Adds the file name and the arrival columns to a file-backed DataFrame."""
     return df.select("*", F.col("_metadata.file_name").alias("_raw_file"),

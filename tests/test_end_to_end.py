@@ -10,6 +10,7 @@ from pyspark.sql import Observation, functions as F
 
 from offerscope import schemas
 from offerscope.operators.filters import slice_offers
+from offerscope.plans.export import read_csv
 from offerscope.plans import profile, warehouse
 from offerscope.plans.clean import clean_offers, typed_offers
 from offerscope.plans.insights import insights
@@ -37,7 +38,7 @@ def clean(spark, *changes, **kw):
 
 def test_clean_schema_and_values(spark):
     df = clean(spark, {"salary_raw": "45K€ - 55K€", "contract_raw": "CDI", "description": "SQL. Télétravail 2 jours par semaine."})
-    assert df.schema == schemas.CLEAN
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schemas.CLEAN]
     (r,) = df.collect()
     assert (r.offer_id, r.salary_mid, r.has_salary, r.remote_policy, r.city, r.contract_type) == (
         "test:1", 50000, 1, "Hybride", "Paris", "CDI")
@@ -198,8 +199,41 @@ def test_reload_replaces_tables_and_keeps_the_log(spark, done):
     root, summary = done
     again = run(spark, f"{root}/raw", f"{root}/warehouse")
     assert (again.n_offers, again.n_offer_skills) == (summary.n_offers, summary.n_offer_skills)
-    assert spark.read.parquet(f"{root}/warehouse/offers").count() == summary.n_offers
-    assert spark.read.parquet(f"{root}/warehouse/pipeline_runs").count() == 2
+    assert warehouse.load(spark, f"{root}/warehouse").offers.count() == summary.n_offers
+    assert spark.read.parquet(f"{root}/warehouse/published").count() == spark.read.parquet(f"{root}/warehouse/pipeline_runs").count() == 2
+
+
+def test_a_load_that_breaks_a_rule_leaves_the_former_one(spark, done):
+    root, summary = done
+    former = warehouse.load(spark, f"{root}/warehouse").offers
+    clean = former.drop("skills_count")
+    with pytest.raises(ValueError, match=r"primary key \(offer_id\)"):
+        warehouse.store(clean.union(clean.limit(1)), f"{root}/warehouse")
+    again = warehouse.load(spark, f"{root}/warehouse").offers
+    assert again.count() == summary.n_offers and again.exceptAll(former).isEmpty()
+    with pytest.raises(ValueError, match="nothing is published"):
+        warehouse.load(spark, f"{root}/elsewhere")
+
+
+def test_lines_that_are_no_records_go_to_quarantine(spark, tmp_path):
+    folder = tmp_path / "raw" / "real"
+    folder.mkdir(parents=True)
+    lines = [json.dumps(r) for r in records(False, 40, "real")]
+    (folder / "real_20260901_080000.jsonl").write_text("\n".join([*lines[:20], "{broken", '{"title": "Data Analyst", "salary_min_raw": "x"}', *lines[20:]]))
+    with pytest.raises(Exception):
+        run(spark, str(tmp_path / "raw"), str(tmp_path / "strict"))
+    good = tmp_path / "good" / "real"
+    good.mkdir(parents=True)
+    (good / "real_20260901_080000.jsonl").write_text("\n".join(lines))
+    want = run(spark, str(tmp_path / "good"), str(tmp_path / "plain"))
+    got = run(spark, str(tmp_path / "raw"), str(tmp_path / "lenient"), quarantine_dir=str(tmp_path / "quarantine"),
+              processed_dir=str(tmp_path / "processed"))
+    assert (got.n_bad_lines, got.n_raw, got.n_offers) == (2, want.n_raw, want.n_offers)
+    kept = spark.read.json(str(tmp_path / "quarantine")).collect()
+    assert sorted(r["line"] for r in kept) == sorted(["{broken", '{"title": "Data Analyst", "salary_min_raw": "x"}'])
+    assert {r["file_name"] for r in kept} == {"real_20260901_080000.jsonl"}
+    back = read_csv(spark, str(tmp_path / "processed" / "offers.csv"), schemas.OFFERS)
+    assert back.count() == want.n_offers
 
 
 def test_empty_landing_zone_is_an_error(spark, tmp_path):
