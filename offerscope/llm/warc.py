@@ -5,8 +5,14 @@ is not named in a commit is not part of the archive. Reading: whole files are de
 filters on the record type and on header columns are pushed down. A reader inflates a member's headers first; if they fail the filters, or no payload is asked for, it goes on to
 the next member by the length without inflating the rest.
 
+Archives of others are read too: `*.warc.gz` whose members do not tell their length (the rest of a member is then inflated and passed over),
+several records in one member, and plain `*.warc`, whose records are skipped by their length. Of an HTTP message the payload is what
+follows its head, transfer encodings as they are; of any other record it is the whole block. Revisits have none.
+
 Defined cases: null payloads are empty; a null target or reference leaves the header out and is read as null; control characters
-in a target are percent-encoded; an empty table gives an archive without records; repeated rows give records of their own.
+in a target are percent-encoded; an empty table gives an archive without records, a folder without archives is an error; repeated rows give
+records of their own; ties go to the smaller id; very long payloads are inflated in steps and skipped where nobody asks for them; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition, IsNotNull, IsNull,
                                     WriterCommitMessage)
 
+from offerscope.operators.skew import salted_join
+
 SCHEMA = ("record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes long,"
           " payload binary")
 # Names of the format.
@@ -35,6 +43,7 @@ HEADERS = {"record_id": "WARC-Record-ID", "record_type": "WARC-Type", "target_ur
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 HEAD_BYTES = 4096
+OWN_FILE = re.compile(r"part-[0-9a-f]{32}\.warc\.gz").fullmatch
 
 
 def _deflate(data: bytes) -> bytes:
@@ -64,7 +73,7 @@ def record(row: dict) -> bytes:
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    return {k.lower(): v for k, _, v in (line.partition(": ") for line in head.decode("utf-8", "replace").split("\r\n")[1:])}
+    return {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])}
 
 
 @dataclass
@@ -125,13 +134,17 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         store, root = fs.FileSystem.from_uri(self.path)
         listed = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        commits = [info for info in listed if info.base_name.startswith("_commit-")]
         names: set[str] = set()
-        for info in listed:
-            if info.base_name.startswith("_commit-"):
-                with store.open_input_stream(info.path) as data:
-                    names.update(json.loads(data.read()))
+        for info in commits:
+            with store.open_input_stream(info.path) as data:
+                names.update(json.loads(data.read()))
+        files = [i for i in listed if i.base_name.endswith((".warc", ".warc.gz"))
+                 and (i.base_name in names or not (commits and OWN_FILE(i.base_name)))]
+        if not files and not commits:
+            raise FileNotFoundError(f"no archive in {self.path}")
         out, size = [], 0
-        for info in sorted((i for i in listed if i.base_name in names), key=lambda i: i.path):
+        for info in sorted(files, key=lambda i: i.path):
             if not out or size + info.size > self.split_bytes:
                 out.append(Files([]))
                 size = 0
@@ -150,45 +163,123 @@ class WarcReader(DataSourceReader):
         store, _ = fs.FileSystem.from_uri(self.path)
         for path in partition.paths:
             with store.open_input_file(path) as data:
-                yield from self._records(data)
+                yield from self._zipped(data) if path.endswith(".gz") else self._records(Bytes(data, data.size()))
 
-    def _records(self, data) -> Iterator[tuple]:
+    def _zipped(self, data) -> Iterator[tuple]:
         size = data.size()
-        while data.tell() < size:
+        while (begin := data.tell()) < size:
             head = data.read(12)
-            extra = data.read(struct.unpack("<H", head[10:])[0])
-            if head[:4] != b"\x1f\x8b\x08\x04" or extra[:2] != b"SL":
-                raise ValueError("a member without its length")
-            packed, _ = struct.unpack("<QQ", extra[4:20])
-            begin = data.tell()
-            inflate = zlib.decompressobj(-15)
-            plain, rest = b"", data.read(min(HEAD_BYTES, packed))
-            while b"\r\n\r\n" not in plain:
-                got = inflate.decompress(rest, HEAD_BYTES)
-                rest = inflate.unconsumed_tail or data.read(min(HEAD_BYTES, begin + packed - data.tell()))
-                if not got and not rest:
-                    break
-                plain += got
-            warc, _, block = plain.partition(b"\r\n\r\n")
-            raw = _fields(warc)
+            if head[:3] != b"\x1f\x8b\x08":
+                raise ValueError("not a gzip member")
+            extra = data.read(struct.unpack("<H", head[10:])[0]) if head[3] & 4 else b""
+            if extra[:2] == b"SL":
+                packed, _ = struct.unpack("<QQ", extra[4:20])
+                member = Inflated(data, -15, packed)
+                yield from self._records(member, first_only=True)
+                data.seek(begin + 12 + len(extra) + packed + 8)
+            else:
+                data.seek(begin)
+                member = Inflated(data, 31, size - begin)
+                yield from self._records(member)
+                data.seek(begin + member.finish())
+
+    def _records(self, stream: Bytes | Inflated, first_only: bool = False) -> Iterator[tuple]:
+        """Records of a stream; without `first_only` the rest of each is passed over."""
+        while stream.more():
+            head = stream.until(b"\r\n\r\n")
+            if not head.strip():
+                return
+            raw = _fields(head.lstrip())
+            length, left = int(raw["content-length"]), int(raw["content-length"])
             fields = {column: raw.get(name.lower()) for column, name in HEADERS.items()}
+            sha1 = (fields["payload_digest"] or "").startswith("sha1:")
             fields["payload_digest"] = (fields["payload_digest"] or "").removeprefix("sha1:") or None
             if self._passes(fields):
-                length = int(raw["content-length"])
-                whole = fields["record_type"] == "response" and ("payload" in self.columns or self.verify)
-                while len(block) < length and (whole or b"\r\n\r\n" not in block):
-                    # An empty input lets zlib give out what it still holds.
-                    block += inflate.decompress(rest, HEAD_BYTES if not whole else 0)
-                    rest = inflate.unconsumed_tail or data.read(min(1 << 20, begin + packed - data.tell()))
-                    if not rest and inflate.eof:
-                        break
-                http, _, payload = block[:length].partition(b"\r\n\r\n")
-                fields["payload_bytes"] = int(_fields(http)["content-length"])
-                fields["payload"] = payload if whole else None
-                if whole and (len(payload) != fields["payload_bytes"] or digest(payload) != fields["payload_digest"]):
-                    raise ValueError(f"payload of {fields['record_id']} is not what its headers say")
+                payload, http, revisit = None, {}, fields["record_type"] == "revisit"
+                if length and raw.get("content-type", "").startswith("application/http"):
+                    message = stream.until(b"\r\n\r\n", left)
+                    left -= len(message)
+                    http = _fields(message)
+                told = http.get("content-length", "")
+                fields["payload_bytes"] = int(told) if told.isdigit() else None if revisit else left
+                if not revisit and ("payload" in self.columns or self.verify):
+                    payload = stream.take(left)
+                    left = 0
+                    if self.verify and (len(payload) != fields["payload_bytes"] or sha1 and digest(payload) != fields["payload_digest"]):
+                        raise ValueError(f"payload of {fields['record_id']} is not what its headers say")
+                fields["payload"] = payload
                 yield tuple(fields[c] for c in self.columns)
-            data.seek(begin + packed + 8)
+            if first_only:
+                return
+            stream.skip(left + 4)
+
+
+class Bytes:
+    """What a plain file holds from here on."""
+
+    def __init__(self, data, size: int):
+        self.data, self.size, self.buffer = data, size, b""
+
+    def _fill(self, wanted: int) -> bool:
+        got = self.data.read(wanted)
+        self.buffer += got
+        return bool(got)
+
+    def more(self) -> bool:
+        return bool(self.buffer) or self._fill(HEAD_BYTES)
+
+    def until(self, mark: bytes, limit: int | None = None) -> bytes:
+        """Everything up to and with the mark, or to the end or limit."""
+        begin = 0
+        while (at := self.buffer.find(mark, begin)) < 0 and (limit is None or len(self.buffer) < limit):
+            begin = max(0, len(self.buffer) - len(mark))
+            if not self._fill(HEAD_BYTES):
+                break
+        end = at + len(mark) if at >= 0 else len(self.buffer)
+        return self.take(end if limit is None else min(end, limit))
+
+    def take(self, n: int) -> bytes:
+        while len(self.buffer) < n and self._fill(max(HEAD_BYTES, n - len(self.buffer))):
+            pass
+        got, self.buffer = self.buffer[:n], self.buffer[n:]
+        return got
+
+    def skip(self, n: int) -> None:
+        inside = min(n, len(self.buffer))
+        self.buffer = self.buffer[inside:]
+        self.data.seek(min(self.size, self.data.tell() + n - inside))
+
+
+class Inflated(Bytes):
+    """What one gzip member holds, inflated as far as somebody reads."""
+
+    def __init__(self, data, window: int, packed: int):
+        super().__init__(data, packed)
+        self.inflate, self.begin, self.rest = zlib.decompressobj(window), data.tell(), b""
+
+    def _fill(self, wanted: int) -> bool:
+        while not self.inflate.eof:
+            if not self.rest:
+                self.rest = self.data.read(min(max(HEAD_BYTES, min(wanted, 1 << 20)), self.begin + self.size - self.data.tell()))
+            before = self.rest
+            got = self.inflate.decompress(self.rest, wanted)
+            self.rest = self.inflate.unconsumed_tail
+            if got:
+                self.buffer += got
+                return True
+            if not before and not self.rest:
+                return False  # cut off
+        return False
+
+    def skip(self, n: int) -> None:
+        while n > 0 and self.more():
+            n -= len(self.take(min(n, 1 << 20)))
+
+    def finish(self) -> int:
+        """Packed length of the whole member."""
+        while self.more():
+            self.buffer = b""
+        return self.data.tell() - self.begin - len(self.inflate.unused_data)
 
 
 def digest(payload: bytes) -> str:
@@ -240,7 +331,11 @@ def records(df: DataFrame, id_col: str = "page_id", url: str = "url", payload: s
     rows = rows.withColumn("sha1", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
     first = rows.where(F.col("payload_bytes") >= least).groupBy("sha1", "payload_bytes").agg(
         F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n")
-    rows = rows.join(first, ["sha1", "payload_bytes"], "left")
+    # The copies of one payload meet its first record without their bytes, spread by id; payloads move by id and digest.
+    narrow = rows.where(F.col("payload_bytes") >= least).select(F.concat_ws(":", "sha1", "payload_bytes").alias("key"), "id", "sha1").distinct()
+    known = salted_join(narrow, first.select(F.concat_ws(":", "sha1", "payload_bytes").alias("key"), "first"), "key", ["id"])
+    known = known.select(F.col("id").alias("of"), F.col("sha1").alias("digest"), "first")
+    rows = rows.join(known, F.col("id").eqNullSafe(F.col("of")) & (F.col("sha1") == F.col("digest")), "left")
     again = F.coalesce(~F.col("id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False))
     name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">"))
     return rows.select(name.alias("record_id"), F.when(again, "revisit").otherwise("response").alias("record_type"), "target_uri",
