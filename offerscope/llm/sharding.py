@@ -5,7 +5,7 @@
 shard, prefix sums of those counts give the task's first slot.
 
 Defined cases: a null key counts as -1; repeated rows and equal keys share a shard and get slots of their own; an empty table
-gives no rows; other columns pass through, whatever their names.
+gives no rows; other columns, very long texts among them, pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ def assign(key: str | Column, shards: int) -> Column:
 def with_slots(df: DataFrame, shard: str = "shard", slot: str = "slot") -> DataFrame:
     """Add a slot that runs gapless from 0 in every shard. Rows are stored once with the number they have in their task."""
     fields = [f for f in df.schema.fields if f.name != slot]
-    wide = StructType([*fields, StructField("__part", LongType()), StructField("__nth", LongType())])
+    part_col, nth_col, first_col, count_col = _unused(df.columns, "part", "nth", "first", "count")
+    wide = StructType([*fields, StructField(part_col, LongType()), StructField(nth_col, LongType())])
 
     def number(batches):
         part, counts = TaskContext.get().partitionId(), {}
@@ -68,14 +69,24 @@ def with_slots(df: DataFrame, shard: str = "shard", slot: str = "slot") -> DataF
             columns = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(np.full(len(shards), part, dtype=np.int64)), pa.array(nth)],
-                names=[*batch.schema.names, "__part", "__nth"])
+                names=[*batch.schema.names, part_col, nth_col])
 
     rows = stored(df.select(*[F.col(f"`{f.name}`") for f in fields]).mapInArrow(number, wide), "shards")
-    before = Window.partitionBy(shard).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = rows.groupBy("__part", shard).agg(F.count("*").alias("__n")).select(
-        "__part", shard, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    out = rows.join(firsts, ["__part", shard])
-    return out.select(*[F.col(f"`{f.name}`") for f in fields], (F.col("__first") + F.col("__nth")).alias(slot))
+    before = Window.partitionBy(shard).orderBy(part_col).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = rows.groupBy(part_col, shard).agg(F.count("*").alias(count_col)).select(
+        part_col, shard, F.coalesce(F.sum(count_col).over(before), F.lit(0)).alias(first_col))
+    out = rows.join(firsts, [part_col, shard])
+    return out.select(*[F.col(f"`{f.name}`") for f in fields], (F.col(first_col) + F.col(nth_col)).alias(slot))
+
+
+def _unused(taken: list[str], *names: str) -> list[str]:
+    """The names, with as many underscores before them as keep them apart from those taken."""
+    taken, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def write_shards(df: DataFrame, path: str, key: str, shards: int) -> None:
