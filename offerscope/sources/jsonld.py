@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -111,17 +111,23 @@ def job_postings(pages: DataFrame, html: str = "html", rounds: int = DEFAULT_ROU
 
 
 def _entity_decoded(text: Column) -> Column:
-    """Named (HTML 4) and numeric character references decoded, each exactly once; the semicolon may be missing.
+    """Named (HTML 5) and numeric character references decoded, each exactly once; the semicolon may be missing.
 
-    Numbers 128 to 159 are read as windows-1252; zero, surrogates and numbers that are no code point give U+FFFD.
+    A name is read whole; one that the table does not hold stays, without its semicolon. Numbers 128 to 159 are read as
+    windows-1252; zero, surrogates and numbers that are no code point give U+FFFD.
     """
-    named = {**name2codepoint, "apos": ord("'")}
-    names = F.create_map(*[F.lit(x) for name, code in named.items() for x in (name, chr(code))])
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, char in html5.items():
+        by_letter.setdefault(name[0], {})[name.rstrip(";")] = char
+    # Names by their first letter: a look-up in a map of literals goes through its keys one by one.
+    names = F.create_map(*[x for letter, some in by_letter.items() for x in (
+        F.lit(letter), F.create_map(*[F.lit(y) for pair in some.items() for y in pair]))])
     windows = F.create_map(*[F.lit(x) for b in range(0x80, 0xA0) if (c := bytes([b]).decode("cp1252", "ignore"))
                              for x in (f"{b:X}", f"{ord(c):X}")])
 
     def piece(p: Column) -> Column:
         name = F.regexp_extract(p, r"^&([A-Za-z][A-Za-z0-9]*)", 1)
+        named = F.try_element_at(F.try_element_at(names, F.substring(name, 1, 1)), name)
         decimal = F.regexp_extract(p, r"^&#0*(\d+)", 1)
         hexa = F.regexp_extract(p, r"^&#[xX]0*([0-9a-fA-F]+)", 1)
         number = F.when(hexa != "", F.upper(hexa)).when(decimal != "", F.coalesce(
@@ -133,7 +139,7 @@ def _entity_decoded(text: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
         return (F.when(code.isNotNull(), F.concat(char, rest))
                 .when(name == "", p)
-                .otherwise(F.concat(F.coalesce(F.try_element_at(names, name), F.concat(F.lit("&"), name)), rest)))
+                .otherwise(F.concat(F.coalesce(named, F.concat(F.lit("&"), name)), rest)))
 
     decoded = F.array_join(F.transform(F.split(text, "(?=&)"), piece), "")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)

@@ -1,5 +1,6 @@
 import json
 from datetime import datetime, timezone
+from html.entities import html5
 
 from pyspark.sql import functions as F
 
@@ -121,3 +122,12 @@ def test_city_reference_from_csv(spark, tmp_path):
     assert sorted(map(tuple, read.collect())) == sorted(map(tuple, fixed.collect())) and fixed.count() == 57
     regions = [sorted(map(tuple, p.department_table(spark).collect())) for p in (read_cities(spark, path), DEFAULT_PLACES)]
     assert regions[0] == regions[1]
+
+
+def test_every_named_reference_of_html_5(spark):
+    """Whole names with and without a semicolon, before a blank, a tag and another reference; others stay."""
+    whole = {name.rstrip(";"): char for name, char in html5.items()}
+    texts = {f"x&{name}{tail[0]}": f"x{char}{tail[1]}" for name, char in whole.items() for tail in ((";", ""), ("", ""), (";q", "q"), ("&lt;y", "<y"))}
+    texts |= {"&nosuchname; &; & &#38;amp; &AMP;amp;": "&nosuchname &; & &amp; &amp;"}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("got", jsonld.html_to_text(F.col("t")))
+    assert [tuple(r) for r in df.collect() if r["got"].strip() != texts[r["t"]].strip()] == []
