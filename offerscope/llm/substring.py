@@ -12,7 +12,8 @@ a passage that a third of all documents share costs one row per bucket. The text
 Hashes of anchors only propose; windows are compared by 64-bit hashes of their words.
 
 Defined cases: a null or empty text has no words and stays as it is; repeated rows count as documents of their own, so their long
-passages go from all of them; null ids are carried; an empty table gives no rows; other columns pass through, whatever their names.
+passages go from all of them, and rows equal in every column share a bucket; null ids are carried; very long texts are hashed whole, with
+their bucket's other texts in slices; an empty table gives no rows; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,13 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import AtomicType, BinaryType, LongType, StructField, StructType
 
 from offerscope.llm.common import arrow_schema, batch_of, partitions_for
 
 # Perfect difference sets, period -> cover positions.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
-BUCKET_BYTES, SLICE_WORDS = 16 << 20, 400_000
+BUCKET_BYTES, SLICE_WORDS = 8 << 20, 200_000
+#: Hashes of one part when repeated ones are sought, and bytes of text that give one anchor.
+ROWS_EACH, BYTES_PER_ANCHOR = 2_000_000, 25
 HASHED = "h long, bucket int, n int"
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -134,8 +137,8 @@ def _told(hashes: list[np.ndarray], bucket: int) -> pa.Table:
                                            np.minimum(counts, 2).astype(np.int32))], schema)
 
 
-def _repeated(hashes: DataFrame) -> DataFrame:
-    """(h, bucket) of the hashes that occur twice or more; a hash has one row per bucket at most."""
+def _repeated(hashes: DataFrame, parts: int) -> DataFrame:
+    """(h, bucket) of the hashes that occur twice or more; a hash has one row per bucket at most. A task holds one part."""
     schema = arrow_schema("h long, bucket int")
 
     def run(batches):
@@ -149,7 +152,7 @@ def _repeated(hashes: DataFrame) -> DataFrame:
         twice = np.repeat(np.add.reduceat(n, starts) >= 2, np.diff(np.r_[starts, len(h)])) if len(h) else np.zeros(0, dtype=bool)
         yield batch_of(schema, h[twice], bucket[twice])
 
-    return hashes.repartition("h").mapInArrow(run, "h long, bucket int")
+    return hashes.repartition(parts, "h").mapInArrow(run, "h long, bucket int")
 
 
 def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text: str = "text",
@@ -159,11 +162,13 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     The three added columns get the given names and replace columns of those names.
     """
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = partitions_for(df, size, BUCKET_BYTES)
+    buckets, parts = partitions_for(df, size, BUCKET_BYTES), partitions_for(df, size // BYTES_PER_ANCHOR, ROWS_EACH)
     carried = [c for c in df.columns if c not in names or c in (id_col, text)]
     inner = [f"c{i}" for i in range(len(carried))]
     at_text = carried.index(text) + 1
-    rows = df.select(F.pmod(F.xxhash64(id_col, text), F.lit(buckets)).cast("int").alias("bucket"),
+    # Rows that are equal in id and text spread by their other columns.
+    plain = [f"`{f.name}`" for f in df.schema.fields if isinstance(f.dataType, AtomicType) and f.name not in (id_col, text)]
+    rows = df.select(F.pmod(F.xxhash64(id_col, text, *plain), F.lit(buckets)).cast("int").alias("bucket"),
                      *[F.col(f"`{c}`").alias(i) for c, i in zip(carried, inner)])
     result = StructType([*rows.schema.fields[1:], StructField("n_words", LongType()), StructField("n_removed", LongType()),
                          StructField("kept", BinaryType())])
@@ -204,8 +209,8 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
                                      pa.array(kept, pa.binary())], schema=result_arrow)
 
     grouped = rows.groupBy("bucket")
-    shared = _repeated(grouped.applyInArrow(anchors, HASHED))
-    windows = _repeated(grouped.cogroup(shared.groupBy("bucket")).applyInArrow(extended, HASHED))
+    shared = _repeated(grouped.applyInArrow(anchors, HASHED), parts)
+    windows = _repeated(grouped.cogroup(shared.groupBy("bucket")).applyInArrow(extended, HASHED), parts)
     done = grouped.cogroup(windows.groupBy("bucket")).applyInArrow(cut, result)
     return done.select(*[F.col(i).alias(c) for c, i in zip(carried, inner)], F.col("n_words").alias(names[0]),
                        F.col("n_removed").alias(names[1]), F.col("kept").cast("string").alias(names[2]))
