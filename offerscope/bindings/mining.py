@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from offerscope.bindings.registry import half_up, query, table
-from offerscope.operators import skills as S, terms as T
+from offerscope.operators import phrases as PH, skills as S, terms as T
 from offerscope.operators.skew import explode_computed
+from offerscope.session import shared_dir
 from offerscope.vocab.skills import Skill
 from offerscope.vocab.stopwords import FRENCH, RECRUITMENT
 
@@ -53,6 +54,14 @@ def skill_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.labelled_links(cited, "doc_id", WORDS)
 
 
+@query("skill_phrases", f"WITH d AS (SELECT doc_id, {_LOWERED} AS t, {_CASED} AS raw FROM documents) {_EXTRACTED}")
+def skill_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same bridge with the dictionary as a table: written to a file, read back, and met by a join."""
+    path = shared_dir(spark, "dictionary")
+    PH.as_table(spark, WORDS).write.json(path)
+    return PH.extract(documents(spark, sf_dir), "doc_id", ["source", "text"], PH.read_dictionary(spark, path))
+
+
 # Own sentences around entries of the dictionary, and what each must yield in dictionary order.
 _ITEMS = ["Outils du poste : snowflake/DBT, Docker puis Kubernetes", "R, SAS et Matlab pour nos statisticiens", "Rust, Go et C++ au quotidien",
           "nous migrons d’Azure vers GCP avec Terraform", "Scrum, mode agile, GIT ; SQLite", "reporting Excel hebdomadaire",
