@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from html.entities import html5
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from offerscope.functions.text import blank_to_null, strip
 from offerscope.operators.skew import explode_computed
+from offerscope.session import stored
 from offerscope.sources.landing import as_raw
 
 # A comment or a whole script: a script inside a comment is no script, a comment inside a script is content.
@@ -17,8 +16,8 @@ _COMMENT_OR_SCRIPT = r"(?is)<!--.*?-->|<script\b([^>]*)>(.*?)</script\s*>"
 _LD_JSON = r"(?i)\btype\s*=\s*[\"']?application/ld\+json"
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
 _TAG = r"<[a-zA-Z/!?][^>]*>"
-# Rounds of unfolding lists and "@graph" members; see ``job_postings``.
-DEFAULT_ROUNDS = 4
+# Levels of lists and "@graph" members unfolded in one pass; see ``job_postings``.
+ROUNDS = 4
 
 
 def _get(value: Column, path: str, kind: str = "variant") -> Column:
@@ -64,50 +63,33 @@ def _unfold(values: Column) -> Column:
     return F.flatten(F.transform(values, step))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _deep_postings(blocks: pd.Series) -> pd.Series:
-    """Postings of blocks nested deeper than the unfolding rounds reach; NULL for all others."""
-    def search(text: str | None) -> list[str] | None:
-        if text is None:
-            return None
-        found, pending = [], [json.loads(text)]
-        while pending:
-            value = pending.pop()
-            if isinstance(value, list):
-                pending += value
-            elif isinstance(value, dict):
-                kinds = value.get("@type")
-                if kinds == "JobPosting" or (isinstance(kinds, list) and "JobPosting" in kinds):
-                    found.append(json.dumps(value))
-                pending.append(value.get("@graph"))
-        return found
-
-    return blocks.map(search)
-
-
-def job_postings(pages: DataFrame, html: str = "html", rounds: int = DEFAULT_ROUNDS) -> DataFrame:
+def _is_posting(v: Column) -> Column:
+    kinds = _get(v, '$["@type"]', "array<string>")
+    return F.coalesce(_get(v, '$["@type"]', "string") == "JobPosting", F.lit(False)) \
+        | F.coalesce(F.array_contains(kinds, "JobPosting"), F.lit(False))
+
+
+def job_postings(pages: DataFrame, html: str = "html", rounds: int = ROUNDS) -> DataFrame:
     """One row per object whose ``@type`` is, or contains, JobPosting (column ``posting``).
 
-    ``rounds`` rounds of unfolding lists and "@graph" members reach any usual nesting inside the JVM; only blocks
-    with something left to unfold afterwards go through a Python helper.
+    Readable blocks are stored, then lists and "@graph" members are unfolded, ``rounds`` levels in one pass. What is left below them
+    goes through the next pass, until nothing is left: one pass reaches any usual nesting, and depth has no limit.
     """
-    blocks = ld_blocks(pages, html)
-    level, names = F.array(F.col("block")), []
-    for i in range(rounds):
-        names.append(f"_level{i}")
-        blocks = blocks.withColumn(names[-1], level)
-        level = _unfold(F.col(names[-1]))
-    blocks = blocks.withColumn("_left", F.size(level) > 0)
-    blocks = blocks.withColumn("_deep", _deep_postings(F.when(F.col("_left"), F.to_json("block"))))
-
-    def is_posting(v: Column) -> Column:
-        kinds = _get(v, '$["@type"]', "array<string>")
-        return F.coalesce(_get(v, '$["@type"]', "string") == "JobPosting", F.lit(False)) \
-            | F.coalesce(F.array_contains(kinds, "JobPosting"), F.lit(False))
-
-    near = F.filter(F.flatten(F.array(*[F.col(n) for n in names])), is_posting)
-    found = F.when(F.col("_left"), F.transform("_deep", F.parse_json)).otherwise(near)
-    return explode_computed(blocks, [c for c in pages.columns if c != html], found, "posting")
+    keep = [c for c in pages.columns if c != html]
+    blocks = stored(ld_blocks(pages, html).withColumn("block", F.to_json("block")), "ld-blocks")
+    rows, found = blocks.select(*keep, F.array(F.parse_json("block")).alias("_level0")), None
+    while True:
+        for i in range(rounds):
+            rows = rows.withColumn(f"_level{i + 1}", _unfold(F.col(f"_level{i}")))
+        values = F.flatten(F.array(*[F.col(f"_level{i}") for i in range(rounds)]))
+        postings = explode_computed(rows, keep, F.filter(values, _is_posting), "posting")
+        found = postings if found is None else found.unionByName(postings)
+        below = rows.where(F.size(f"_level{rounds}") > 0).select(
+            *keep, F.transform(f"_level{rounds}", lambda v: F.to_json(v)).alias("_left"))
+        below = stored(below, "ld-deeper")
+        if below.isEmpty():
+            return found
+        rows = below.select(*keep, F.transform("_left", F.parse_json).alias("_level0"))
 
 
 def _entity_decoded(text: Column) -> Column:

@@ -131,3 +131,17 @@ def test_every_named_reference_of_html_5(spark):
     texts |= {"&nosuchname; &; & &#38;amp; &AMP;amp;": "&nosuchname &; & &amp; &amp;"}
     df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("got", jsonld.html_to_text(F.col("t")))
     assert [tuple(r) for r in df.collect() if r["got"].strip() != texts[r["t"]].strip()] == []
+
+
+def test_postings_thirty_levels_deep(spark):
+    """Lists and graphs within each other, deeper than one pass reaches; postings on several levels are all found once."""
+    value = {"@type": "JobPosting", "title": "unten"}
+    for level in range(30):
+        value = {"@graph": [value, {"@type": "JobPosting", "title": f"t{level}"}]} if level % 2 else [value]
+    page = f'<script type="application/ld+json">{json.dumps(value)}</script>'
+    flat = '<script type="application/ld+json">{"@type": ["Thing", "JobPosting"], "title": "oben"}</script>'
+    pages = spark.createDataFrame([("u", page), ("v", flat), ("w", "none"), ("x", None)], "url string, html string")
+    got = jsonld.job_postings(pages)
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+    titles = [(r["url"], r["t"]) for r in got.select("url", F.try_variant_get("posting", "$.title", "string").alias("t")).collect()]
+    assert sorted(titles) == sorted([("u", "unten"), ("v", "oben"), *(("u", f"t{i}") for i in range(1, 30, 2))])
