@@ -28,8 +28,13 @@ def read_marked(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def bad_lines(marked: DataFrame) -> DataFrame:
-    """(file_name, line): what a quarantine table keeps of the lines that are no records."""
-    return marked.where(F.col("_bad_line").isNotNull()).select(F.col("_raw_file").alias("file_name"), F.col("_bad_line").alias("line"))
+    """(file_name, record, line): the lines that are no records, and what could be read of them.
+
+    All fields are read here: a reader that needs few of them does not notice a wrong type in the others.
+    """
+    record = F.to_json(F.struct(*schemas.RAW.fieldNames()))
+    return marked.where(F.col("_bad_line").isNotNull()).select(
+        F.col("_raw_file").alias("file_name"), record.alias("record"), F.col("_bad_line").alias("line"))
 
 
 def with_arrival(df: DataFrame) -> DataFrame:
