@@ -1,7 +1,7 @@
 """Language-model scores: cross-entropy difference between a target and a background model.
 
-Both are bigram models over all words of the corpus, so they differ in their counts only. Target counts come from the trusted
-documents of a bounded sample of labelled rows, background counts from every document. P(w | v) = (c(v, w) + m P(w)) / (c(v) + m),
+Both are bigram models over all words of the corpus, so they differ in their counts only. Target counts come from all trusted
+documents, background counts from every document. P(w | v) = (c(v, w) + m P(w)) / (c(v) + m),
 with c(v) the words that follow v, and P(w) = (c(w) + 1) / (n + vocabulary); the start of a text is a context of its own. A
 document's score is the mean over its words of target loss minus background loss: the lower, the more it resembles the target.
 
@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from offerscope.llm.common import arrow_schema, batch_of, partitions_for, stored, text_bytes
 from offerscope.llm.quality import labelled_sample
 
-#: Labelled rows used for the target at most.
-LABELLED = 10_000
 PSEUDO = 20.0
 SCORES = "doc_id long, n_words long, target_loss double, background_loss double, score double"
 #: n and t count in all and in trusted texts; n_last and t_last are a word's counts as last word of a text.
@@ -38,6 +36,8 @@ PACKED = "part int, bucket int, size int, packed binary"
 BUCKET_BYTES, ROWS_EACH = 16 << 20, 2_000_000
 #: Bucket numbers of the rows that hold the totals of all words, and the size of the vocabulary.
 TOTALS, SIZE = -1, -2
+#: Part number of the rows that hold a bucket's trusted ids.
+TRUSTED = -1
 START = np.uint64(0x94D049BB133111EB)
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -146,30 +146,44 @@ def _changed(told: pa.Table) -> pa.Table:
     return _table(rows)
 
 
-def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", labelled: int = LABELLED) -> DataFrame:
-    """Losses per word under both models, and their difference, for every row."""
-    sample = labelled_sample(labels, labelled).where("trusted").select("__id").collect()
-    ids = df.sparkSession.createDataFrame([(r["__id"], True) for r in sample], "__id long, trusted boolean")  # at most `labelled` rows
+def _trusted(ids: pa.Table) -> pa.Table:
+    """The trusted ids of a bucket, packed."""
+    known = np.unique(ids.column(1).to_numpy())
+    return _table([(TRUSTED, ids.column(0)[0].as_py(), len(known), known.tobytes())])
+
+
+def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Losses per word under both models, and their difference, for every row.
+
+    Trusted ids come to the buckets of their documents by a join of ids alone; texts move to their buckets only.
+    """
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = partitions_for(df, size, BUCKET_BYTES)
-    rows = df.select(F.pmod(F.xxhash64(id_col, text), F.lit(buckets)).cast("int").alias("bucket"), F.col(id_col).cast("long").alias("__id"),
-                     text_bytes(text).alias("text")).join(F.broadcast(ids), "__id", "left")
-    grouped = rows.select("bucket", F.col("__id").alias("id"), "text", F.coalesce("trusted", F.lit(False)).alias("good")).groupBy("bucket")
+    rows = df.select(F.pmod(F.xxhash64(id_col, text), F.lit(buckets)).cast("int").alias("bucket"), F.col(id_col).cast("long").alias("id"),
+                     text_bytes(text).alias("text"))
+    ids = labelled_sample(labels).where("trusted").select(F.col("__id").alias("id"))
+    trusted = stored(rows.select("bucket", "id").join(ids, "id").select("bucket", "id").groupBy("bucket").applyInArrow(_trusted, PACKED), "trusted")
+    grouped = rows.groupBy("bucket")
     schema, parts = arrow_schema(SCORES), partitions_for(df, size // 6, ROWS_EACH)
     edges = np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
 
-    def bucket_of(table: pa.Table) -> Bucket:
-        return Bucket(table.column(2), table.column(3).to_numpy().astype(bool))
+    def bucket_of(table: pa.Table, sent: pa.Table) -> Bucket:
+        known = [p.as_py() for part, p in zip(sent.column(0).to_pylist(), sent.column(3)) if part == TRUSTED]
+        known = np.frombuffer(b"".join(known), dtype=np.int64)
+        ids = table.column(1)
+        return Bucket(table.column(2), ids.is_valid().to_numpy() & np.isin(ids.fill_null(0).to_numpy(), known))
 
-    def tell(table: pa.Table) -> pa.Table:
-        b, number, rows = bucket_of(table), table.column(0)[0].as_py(), []
+    def tell(table: pa.Table, sent: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _table([])
+        b, number, rows = bucket_of(table, sent), table.column(0)[0].as_py(), []
         none = np.zeros(len(b.pairs), dtype=np.int64)
         for keys, counts in ((b.words, b.single), (b.pairs, [*b.joint, none, none])):
             ends = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
             rows += [_pack(part, number, keys[x:y], [c[x:y] for c in counts]) for part, (x, y) in enumerate(zip(ends, ends[1:])) if x < y]
         return _table(rows)
 
-    told = grouped.applyInArrow(tell, PACKED).groupBy("part")
+    told = grouped.cogroup(trusted.groupBy("bucket")).applyInArrow(tell, PACKED).groupBy("part")
     totals = stored(told.applyInArrow(_changed, PACKED), "totals")
     sums = {TOTALS: np.zeros(len(COUNTS), dtype=np.int64), SIZE: np.zeros(len(COUNTS), dtype=np.int64)}
     for r in totals.where("bucket < 0").collect():  # two rows per part
@@ -180,11 +194,12 @@ def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     def judge(table: pa.Table, sent: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
-        b = bucket_of(table)
-        for count, packed in zip(sent.column(2).to_pylist(), sent.column(3)):
-            b.take(*_unpack(count, packed.as_py()))
+        b = bucket_of(table, sent)
+        for part, count, packed in zip(sent.column(0).to_pylist(), sent.column(2).to_pylist(), sent.column(3)):
+            if part != TRUSTED:
+                b.take(*_unpack(count, packed.as_py()))
         far = b.losses(0, n, starts, vocabulary)
         near = b.losses(1, n_near, starts_near, vocabulary) if n_near else far
         return pa.Table.from_batches([batch_of(schema, table.column(1).combine_chunks(), b.lengths, near, far, near - far)], schema)
 
-    return grouped.cogroup(totals.where("bucket >= 0").groupBy("bucket")).applyInArrow(judge, SCORES)
+    return grouped.cogroup(totals.where("bucket >= 0").union(trusted).groupBy("bucket")).applyInArrow(judge, SCORES)

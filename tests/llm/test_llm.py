@@ -301,3 +301,21 @@ def test_quality_threshold_divides_both_classes(spark):
     assert kept[False] > 0.95 and kept[True] < 0.05
     assert quality.threshold(np.array([]), np.array([1.0])) == float("-inf")
     assert quality.threshold(np.array([0.1, 0.2, 0.3, -9.0]), np.array([])) > -1
+
+
+def test_every_labelled_row_counts(spark):
+    """No bound on labelled rows: where all documents are trusted, both models are the same."""
+    ids = range(24_000)
+    labels = spark.createDataFrame([(i, 1, 0) for i in ids], "doc_id long, quality int, toxic int")
+    assert quality.labelled_sample(labels).count() == len(ids)
+    docs = spark.createDataFrame([(i, f"wort{i} wort{i % 7}") for i in ids], "doc_id long, text string")
+    assert all(r["score"] == 0 and r["target_loss"] > 0 for r in langmodel.score(docs, labels).collect())
+
+
+def test_threshold_of_counted_scores():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        trusted, low = (rng.integers(-5, 8, rng.integers(1, 9)) / 4 for _ in range(2))
+        for other in (low, low[:0]):
+            counted = [np.unique(v, return_counts=True) for v in (trusted, other)]
+            assert quality.threshold(*(v for v, _ in counted), *(n for _, n in counted)) == quality.threshold(trusted, other)
