@@ -11,8 +11,8 @@ own; this settles a large group of copies, as members of one component need no f
 the bucket's largest component (`ASKERS` of them at a time) ask the members of other components and leave. Such a bucket is cut into
 blocks of `BLOCK` members; every set comes to its block once and every asker to each block, so no pair is ever a row: a task
 emits one link per asker and component met. A pair that shares several buckets is compared in the first one alone. A pair goes on
-only if its sizes allow the similarity. In crowded buckets the size is that of the shared part: a shingle that no other member of a
-crowded bucket has cannot be shared, so texts that were edited heavily part without a comparison. Turns end when no bucket
+only if its sizes allow the similarity. In crowded buckets, and only there, the size is that of the shared part: a shingle that no other
+member of a crowded bucket has cannot be shared, so texts that were edited heavily part without a comparison. Turns end when no bucket
 holds two components, so every pair of a bucket is decided or connected.
 
 A pair first meets on its sketches: the share of equal registers, less the share expected from accidental collisions of such short registers
@@ -179,8 +179,12 @@ def _sets(df: DataFrame, text: str, width: int, wanted: DataFrame) -> DataFrame:
 
 
 def _shared_sizes(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, own) of the members of crowded buckets: how many of a node's shingles no other such member has."""
-    crowd = members.groupBy("key").count().where(F.col("count") > CROWD).select("key")
+    """(key, node, n, e): e is how many of a node's shingles others of its bucket can share.
+
+    In crowded buckets a shingle that no member of any crowded bucket has besides cannot be shared. Members of other buckets
+    were not asked, so there every shingle counts.
+    """
+    crowd = stored(members.groupBy("key").count().where(F.col("count") > CROWD).select("key", F.lit(True).alias("crowded")), "crowded-keys")
     nodes = members.join(crowd, "key", "left_semi").select("node").distinct()
     schema = pa.schema([("gram", pa.int64()), ("node", pa.int64())])
 
@@ -191,7 +195,9 @@ def _shared_sizes(members: DataFrame, sets: DataFrame) -> DataFrame:
 
     said = in_batches(sets.join(nodes, "node", "left_semi").select("node", "grams"), run, "gram long, node long")
     single = said.groupBy("gram").agg(F.count("*").alias("texts"), F.min("node").alias("node")).where("texts = 1")
-    return single.groupBy("node").agg(F.count("*").alias("own"))
+    own = single.groupBy("node").agg(F.count("*").alias("own"))
+    return members.join(crowd, "key", "left").join(own, "node", "left").select(
+        "key", "node", "n", (F.col("n") - F.when(F.col("crowded"), F.coalesce("own", F.lit(0))).otherwise(0)).alias("e"))
 
 
 def _fits(n: Column, e: Column, m: Column, f: Column, percent: int) -> Column:
@@ -320,10 +326,7 @@ def _roots(df: DataFrame, nodes: DataFrame, text: str, width: int, percent: int)
     if members.isEmpty():
         return None
     sets = stored(_sets(df, text, width, members.select("node").distinct()), "shingle-sets")
-    own = _shared_sizes(members, sets)
-    members = members.join(own, "node", "left").withColumn("e", F.col("n") - F.coalesce("own", F.lit(0))).where(
-        100 * F.col("e") >= percent * F.col("n")).select("key", "node", "n", "e")
-    members = stored(members, "bucket-members")
+    members = stored(_shared_sizes(members, sets).where(100 * F.col("e") >= percent * F.col("n")), "bucket-members")
     lead = members.groupBy("key").agg(F.min(F.struct((1 - F.col("e") / F.col("n")).alias("own"), "node", "n", "e")).alias("lead"))
     asked = members.join(lead, "key").where(F.col("node") != F.col("lead.node")).where(
         _fits(F.col("n"), F.col("e"), F.col("lead.n"), F.col("lead.e"), percent)).select(

@@ -219,3 +219,19 @@ def test_recall_on_the_given_documents(spark):
     links = [(i, k) for i in sets if i % 100 == 0 for k in sets
              if i != k and sets[i] and 100 * len(sets[i] & sets[k]) >= 80 * len(sets[i] | sets[k])]
     assert all(got[i] == got[k] for i, k in links)
+
+
+def test_members_of_crowded_buckets_keep_their_links_in_others(spark, monkeypatch):
+    """A text that shares a crowded bucket with far ones still meets its near copy, whose shingles no crowded bucket tells."""
+    monkeypatch.setattr(hyperminhash, "CROWD", 2)
+    own = np.random.default_rng(4)
+    rows = []
+    for g in range(30):
+        base, tail = ([f"{kind}{g}x{k}" for k in range(n)] for kind, n in (("p", 72), ("q", 48)))
+        near = list(base)
+        for at in (8, 24):
+            near[at] = f"neu{g}x{at}"
+        texts = [base + tail, near + tail, *(base + [f"r{own.integers(1 << 40)}" for _ in range(48)] for _ in range(12))]
+        rows += [(len(rows) + i, " ".join(t)) for i, t in enumerate(texts)]
+    got = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows, 4, 80))
