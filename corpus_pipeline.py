@@ -37,12 +37,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that share 80 % of their five-word shingles, directly or over others, the smallest id stays, once.
 
-    SimHash as in operator 5 cannot tell this similarity (see README), so the sketches are those of operator 13. Texts without
-    words, and rows without an id, which cannot be named as copies, stay.
+    The SimHash balls of operator 5 propose pairs first; they cannot tell this similarity alone (see README), so the sketches of
+    operator 13 find the rest, and full sets decide. Texts without words are copies of each other. Rows without an id, which cannot
+    be named as copies, stay.
     """
     _small_batches(spark)
-    found = hyperminhash.near_duplicates(docs, width=5)
-    first = found.select(F.col("component_id").alias("doc_id")).where("doc_id is not null").distinct()
+    found = hyperminhash.near_duplicates(docs, width=5, simhash_radius=3)
+    blank = F.broadcast(found.where("n_shingles = 0").agg(F.min("doc_id").alias("least")))  # one row
+    first = found.crossJoin(blank).select(F.when(F.col("n_shingles") == 0, F.col("least")).otherwise(F.col("component_id")).alias("doc_id"))
+    first = first.where("doc_id is not null").distinct()
     named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
 

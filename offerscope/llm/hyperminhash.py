@@ -34,7 +34,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerscope.llm.common import batch_of, in_batches, stored, text_bytes
+from offerscope.llm import simhash
+from offerscope.llm.common import batch_of, in_batches, partitions_for, stored, text_bytes
 from offerscope.llm.components import components
 from offerscope.llm.substring import window_hashes
 
@@ -124,20 +125,33 @@ def likely(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarra
     return similar >= percent / 100 - DEVIATIONS * np.sqrt(percent / 100 * (1 - percent / 100) / registers)
 
 
-def _signed(df: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
-    """(doc_id, node, n, registers) of every row; n is the size of the shingle set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("registers", pa.binary())])
+def _signed(df: DataFrame, id_col: str, text: str, width: int, prints: bool = False) -> DataFrame:
+    """(doc_id, node, n, registers, fp) of every row; n is the size of the shingle set, fp the SimHash where asked for, else null."""
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("registers", pa.binary()), ("fp", pa.int64())])
 
     def run(whole: pa.RecordBatch):
         for at in range(0, whole.num_rows, ROWS_EACH):
             batch, signed = whole.slice(at, ROWS_EACH), []
             for t in batch.column(1):
                 grams = shingles(t.as_py(), width)
-                signed.append((node_of(grams), len(grams), sketch(grams).tobytes()))
+                fp = int(np.uint64(simhash.fingerprint(t.as_py(), width)).view(np.int64)) if prints else None
+                signed.append((node_of(grams), len(grams), sketch(grams).tobytes(), fp))
             yield batch_of(schema, batch.column(0), *map(list, zip(*signed)))
 
     return in_batches(df.select(F.col(id_col).cast("long"), text_bytes(text)), run,
-                      "doc_id long, node long, n long, registers binary")
+                      "doc_id long, node long, n long, registers binary, fp long")
+
+
+def _ball_pairs(rows: DataFrame, radius: int) -> DataFrame:
+    """(a, b) nodes to compare first: those of one SimHash with their least, and the least of SimHashes that a ball links."""
+    said = rows.where("n > 0").select("node", "fp").distinct()
+    leads = stored(said.groupBy("fp").agg(F.min("node").alias("lead")), "fingerprint-nodes")
+    balls = sum(v.shape[1] for v in simhash.variants(np.zeros(1, dtype=np.uint64), radius))
+    linked = simhash.links(leads, radius, partitions_for(rows, leads.count() * balls, simhash.ROWS_EACH))
+    for end in "ab":
+        linked = linked.join(leads.select(F.col("fp").alias(end), F.col("lead").alias(f"node_{end}")), end)
+    met = said.join(leads, "fp").select("node", "lead").union(linked.select("node_a", "node_b")).where("node != lead")
+    return stored(met.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct(), "ball-pairs")
 
 
 def _spread(nodes: DataFrame) -> DataFrame:
@@ -318,20 +332,23 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return stored(moved.union(joined.join(roots, "node", "left_anti").select("node", "root")), "roots")
 
 
-def _roots(df: DataFrame, nodes: DataFrame, text: str, width: int, percent: int) -> DataFrame | None:
-    """(node, root) of the components that all similar pairs sharing a band span; None where no band is shared."""
+def _roots(df: DataFrame, nodes: DataFrame, text: str, width: int, percent: int, first: DataFrame | None = None) -> DataFrame | None:
+    """(node, root) of the components that all similar pairs sharing a band, or among the first pairs, span; None without such pairs."""
     spread = _spread(nodes)
     shared = spread.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = stored(spread.join(shared, "key"), "bucket-members")
-    if members.isEmpty():
+    wanted = members.select("node")
+    if first is not None:
+        wanted = wanted.union(first.select("a")).union(first.select("b"))
+    if wanted.isEmpty():
         return None
-    sets = stored(_sets(df, text, width, members.select("node").distinct()), "shingle-sets")
+    sets = stored(_sets(df, text, width, wanted.distinct()), "shingle-sets")
     members = stored(_shared_sizes(members, sets).where(100 * F.col("e") >= percent * F.col("n")), "bucket-members")
     lead = members.groupBy("key").agg(F.min(F.struct((1 - F.col("e") / F.col("n")).alias("own"), "node", "n", "e")).alias("lead"))
     asked = members.join(lead, "key").where(F.col("node") != F.col("lead.node")).where(
         _fits(F.col("n"), F.col("e"), F.col("lead.n"), F.col("lead.e"), percent)).select(
         F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
-    asked = stored(asked.distinct(), "asked-pairs")
+    asked = stored((asked if first is None else asked.union(first)).distinct(), "asked-pairs")
     links, roots, turn = stored(_similar(_likely(asked, nodes, percent), sets, percent), "similar-pairs"), None, 0
     while True:
         if not links.isEmpty():
@@ -352,13 +369,18 @@ def _roots(df: DataFrame, nodes: DataFrame, text: str, width: int, percent: int)
         members = open_.where("not asks").select("key", "node", "n", "e")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 4, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row; component_id is the smallest id that links lead to."""
-    rows = stored(_signed(df, id_col, text, width), "sketches")
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 4, percent: int = 80,
+                    simhash_radius: int | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row; component_id is the smallest id that links lead to.
+
+    With a radius, texts whose SimHashes lie in one ball are compared first; the sketches then find what the balls leave.
+    """
+    rows = stored(_signed(df, id_col, text, width, simhash_radius is not None), "sketches")
+    first = None if simhash_radius is None else _ball_pairs(rows, simhash_radius)
     nodes = stored(rows.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("first"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("registers").alias("registers")),
         "shingle-nodes")
-    roots = _roots(df, nodes, text, width, percent)
+    roots = _roots(df, nodes, text, width, percent, first)
     named = nodes.select("node", "first", "rows")
     if roots is not None:
         rooted = stored(named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")

@@ -235,3 +235,15 @@ def test_members_of_crowded_buckets_keep_their_links_in_others(spark, monkeypatc
         rows += [(len(rows) + i, " ".join(t)) for i, t in enumerate(texts)]
     got = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got)) == sorted(brute_components(rows, 4, 80))
+
+
+def test_simhash_balls_propose_and_full_sets_decide(spark):
+    """The balls alone: pairs they propose are linked if similar, and only then."""
+    rows = [(1, LONG), (2, LONG + " ende"), (3, " ".join(reversed(BASE))), (4, "a b c d e f"), (5, "a b c d e f a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = hyperminhash._signed(docs, "doc_id", "text", 5, True)
+    node = {r["node"]: r["doc_id"] for r in signed.collect()}
+    near = {tuple(sorted((node[r["a"]], node[r["b"]]))) for r in hyperminhash._ball_pairs(signed, 3).collect()}
+    assert (1, 2) in near
+    got = {r["doc_id"]: r["component_id"] for r in hyperminhash.near_duplicates(docs, width=5, simhash_radius=3).collect()}
+    assert got == {i: c for i, _, c in brute_components(rows, 5, 80)}
