@@ -15,7 +15,8 @@ from offerscope.operators.groups import crosstab, fixed_bins, rank_by, seeded_sa
 from offerscope.operators.pairs import pair_lift
 from offerscope.operators.premium import with_and_without
 from offerscope.operators.quantiles import Quantile, quantiles, value_bucket
-from offerscope.operators.skew import salted_join
+from offerscope.operators.skew import salted_join, spread
+from offerscope.operators.terms import term_frequencies
 
 STATS = [Quantile("med"), Quantile("q1", "nearest", 0.25), Quantile("q3", "nearest", 0.75),
          Quantile("p10", "linear", 0.1)]
@@ -177,3 +178,18 @@ def test_quantile_plan_never_gathers_a_group(spark, tmp_path):
     plan = quantiles(df, ["g"], "v", STATS)._jdf.queryExecution().executedPlan().toString()
     assert "percentile" not in plan and "collect_list" not in plan and "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_term_frequencies_move_texts_once(spark):
+    """No exchange of (document, term) rows: the one exchange deals whole texts; repeated ids add up."""
+    docs = spark.createDataFrame([(1, "a", "rot rot blau"), (1, "a", "rot"), (2, "b", None), (None, "b", "blau")], "d long, g string, t string")
+    counted = term_frequencies(docs, "d", "g", "t", [])
+    assert sorted(map(str, map(tuple, counted.collect()))) == sorted(map(str, [
+        (1, "a", "rot", 3), (1, "a", "blau", 1), (1, "a", "rot rot", 1), (1, "a", "rot blau", 1), (None, "b", "blau", 1)]))
+    plan = counted._jdf.queryExecution().sparkPlan().toString() + counted._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(d" in plan and not [line for line in plan.splitlines() if "hashpartitioning(" in line and "term" in line]
+
+
+def test_costly_work_is_spread_over_the_cores(spark):
+    few = spark.range(1000).coalesce(1)
+    assert spread(few, ["id"]).select(F.spark_partition_id().alias("p")).distinct().count() == 4
