@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from offerscope import schemas
 from offerscope.operators.filters import select_dataset
+from offerscope.operators.skew import spread
 from offerscope.plans.clean import staged_columns, typed_offers, unique_offers
 from offerscope.settings import Settings
 from offerscope.sources.places import DEFAULT_PLACES, Places
@@ -33,7 +34,7 @@ def start(spark: SparkSession, raw_dir: str, staging_dir: str, checkpoint_dir: s
                                          "_metadata.file_block_start")
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        typed = typed_offers(_arrival_of(batch), settings, places).select(*staged_columns())
+        typed = typed_offers(spread(_arrival_of(batch), ["_file", "_line"]), settings, places).select(*staged_columns())
         typed.write.mode("overwrite").parquet(f"{staging_dir}/batch={batch_id}")
 
     return (landed.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint_dir)
