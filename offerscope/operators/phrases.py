@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from offerscope.functions.text import WORD, fold
+from offerscope.operators.skew import spread
 from offerscope.operators.skills import _NOT_AFTER, _NOT_BEFORE, _plain
 from offerscope.session import stored
 from offerscope.vocab.skills import DEFAULT_SKILLS, Skill
@@ -129,7 +130,7 @@ def extract(df: DataFrame, key: str, texts: Sequence[str], dictionary: DataFrame
     index = stored(phrases(dictionary), "phrases")
     lengths = {(r["cased"], r["words"]) for r in index.select("cased", "words").distinct().collect()}  # a handful of numbers
     joined = fold(F.concat_ws("\n", *[F.coalesce(F.col(t), F.lit("")) for t in texts]))
-    cased = df.select(F.col(key).alias("key"), joined.alias("text"))
+    cased = spread(df.select(key, *texts), [key]).select(F.col(key).alias("key"), joined.alias("text"))
     found = None
     for capitals in {c for c, _ in lengths}:
         rows = cased if capitals else cased.select("key", F.lower("text").alias("text"))
