@@ -238,6 +238,14 @@ def test_empty_landing_zone_is_an_error(spark, tmp_path):
         run(spark, str(tmp_path / "raw"), str(tmp_path / "w"))
 
 
+def test_bad_lines_alone_are_kept_and_no_load(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.jsonl").write_text("no record\n{broken\n")
+    with pytest.raises(ValueError, match="no raw records"):
+        run(spark, str(tmp_path / "raw"), str(tmp_path / "w"), quarantine_dir=str(tmp_path / "q"))
+    assert spark.read.json(str(tmp_path / "q")).count() == 2
+
+
 def test_incremental_equals_batch(spark, tmp_path):
     landing, staging, marks = (str(tmp_path / n) for n in ("raw", "staging", "marks"))
     rows = spark.createDataFrame([json.dumps(r) for r in records(False, 120, "real")], "string")
